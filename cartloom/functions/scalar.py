@@ -35,3 +35,13 @@ def month(x: Column | str) -> Column:
 
 def rows() -> Column:
     return F.count(F.lit(1))
+
+
+def refunded() -> Column:
+    """Sum of refunds: nine tenths of the returned lines' amounts."""
+    return r2(0.9 * _exact(F.sum("line_total")))
+
+
+def total_of(x: str) -> Column:
+    """Sum of partial sums of amounts, to two decimals."""
+    return F.round(_exact(F.sum(x)).cast("decimal(38,4)"), 2).cast("double")

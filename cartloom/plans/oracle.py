@@ -71,3 +71,6 @@ def r2(x: str) -> str:
 
 def month(x: str) -> str:
     return f"CAST(date_trunc('month', {x}) AS TIMESTAMP)"
+
+
+REFUNDED = r2("CAST(0.9 AS DOUBLE) * round(sum(line_total), 4)")
