@@ -67,12 +67,9 @@ def mask_by_tag(
     (tag, type).  A tagged column of a type without a policy is removed."""
     if roles & cleared:
         return df
-    rules, drop = {}, []
-    for c, kind in df.dtypes:
-        if c in tags:
-            mask = policies.get((tags[c], kind))
-            rules[c] = mask if mask else drop.append(c)
-    return mask_columns(df, {c: m for c, m in rules.items() if m}, roles, cleared).drop(*drop)
+    masks = {c: policies.get((tags[c], kind)) for c, kind in df.dtypes if c in tags}
+    rules = {c: mask for c, mask in masks.items() if mask}
+    return mask_columns(df, rules, roles, cleared).drop(*[c for c in masks if c not in rules])
 
 
 def row_filter(df: DataFrame, access: DataFrame, column: str, roles: set[str], sees_all: set[str]) -> DataFrame:
