@@ -6,7 +6,7 @@ needs no shuffle and no Python.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,24 +23,39 @@ def words(text: Column) -> Column:
 
 def hits(tokens: Column, vocabulary: Sequence[str]) -> Column:
     """How many of the words belong to the vocabulary."""
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    return F.size(F.filter(tokens, lambda w: F.array_contains(known, w))).cast("bigint")
+    return F.size(F.filter(tokens, lambda w: w.isin(list(vocabulary)))).cast("bigint")
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _known(tokens: Column, *vocabularies: Sequence[str]) -> Column:
+    """The words of interest, usually few: counted several times, searched once."""
+    every = sorted({w for v in vocabularies for w in v})
+    return F.filter(tokens, lambda w: w.isin(every))
 
 
 def sentiment(tokens: Column, positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE) -> Column:
     """(positive - negative) / (positive + negative), 0 without either."""
-    up, down = hits(tokens, positive), hits(tokens, negative)
-    return F.coalesce(F.try_divide(up - down, up + down), F.lit(0.0))
+
+    def score(found: Column) -> Column:
+        up, down = hits(found, positive), hits(found, negative)
+        return F.coalesce(F.try_divide(up - down, up + down), F.lit(0.0))
+
+    return _with(_known(tokens, positive, negative), score)
 
 
 def classify(tokens: Column, labels: Mapping[str, Sequence[str]], otherwise: str) -> Column:
     """The label with most keyword hits; of equals the one listed first."""
-    scores = [hits(tokens, words_) for words_ in labels.values()]
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    out = F.lit(otherwise)
-    for name, score in reversed(list(zip(labels, scores))):
-        out = F.when((score == best) & (best > 0), name).otherwise(out)
-    return out
+
+    def best_label(found: Column) -> Column:
+        counts = F.array(*[hits(found, v) for v in labels.values()])
+        return _with(counts, lambda c: F.when(F.array_max(c) > 0, F.element_at(names, F.array_position(c, F.array_max(c)).cast("int"))))
+
+    names = F.array(*[F.lit(n) for n in labels])
+    return F.coalesce(_with(_known(tokens, *labels.values()), best_label), F.lit(otherwise))
 
 
 def mentions(tokens: Column, vocabulary: Sequence[str]) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartloom.session import tune
 
@@ -15,14 +16,34 @@ from cartloom.session import tune
 STATUS = {"F": "delivered", "O": "shipped", "P": "placed"}
 DEVICES = ["desktop", "mobile", "tablet"]
 
+# Schema and number of scan tasks of the tables read so far: finding out costs a job.
+_schemas: dict[str, T.StructType] = {}
+_splits: dict[str, int] = {}
+
 
 class Model:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = tune(spark)
         self.path = path.rstrip("/")
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+    def table(self, name: str, deal_by: str | None = None) -> DataFrame:
+        """A stored table.
+
+        A file of few row groups is read by few tasks, and all work up to the next
+        shuffle runs in them.  With ``deal_by`` the rows of such a short scan are
+        dealt over the cores by that column; a scan with enough splits, as any large
+        table has, is left alone.
+        """
+        path = f"{self.path}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        df = self.spark.read.schema(_schemas[path]).parquet(path)
+        if deal_by is None:
+            return df
+        cores = self.spark.sparkContext.defaultParallelism
+        if path not in _splits:
+            _splits[path] = df.rdd.getNumPartitions()
+        return df if _splits[path] >= 2 * cores else df.repartition(cores, deal_by)
 
     def geography(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
@@ -51,8 +72,8 @@ class Model:
             F.concat(digits(10, 3), F.lit("-"), digits(13, 3), F.lit("-0"), digits(16, 3)).alias("phone"),
         )
 
-    def orders(self, *statuses: str) -> DataFrame:
-        o = self.table("orders")
+    def orders(self, *statuses: str, deal: bool = False) -> DataFrame:
+        o = self.table("orders", deal_by="o_orderkey" if deal else None)
         if statuses:
             codes = [code for code, label in STATUS.items() if label in statuses]
             o = o.filter(F.col("o_orderstatus").isin(codes))
@@ -68,8 +89,8 @@ class Model:
             F.col("o_orderpriority").alias("shipping_method"),
         )
 
-    def items(self) -> DataFrame:
-        return self.table("lineitem").select(
+    def items(self, deal: bool = True) -> DataFrame:
+        return self.table("lineitem", deal_by="l_orderkey" if deal else None).select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("supplier_id"),
@@ -114,7 +135,8 @@ class Model:
 
     def reviews(self) -> DataFrame:
         products = self.table("part").agg(F.count(F.lit(1))).scalar()
-        return self.table("documents").select(
+        # Scoring text is the expensive part, so it should use every core.
+        return self.table("documents", deal_by="doc_id").select(
             F.col("doc_id").alias("review_id"),
             (F.col("doc_id") % products).alias("product_id"),
             (1 + F.col("doc_id") % 5).alias("rating"),
@@ -129,11 +151,11 @@ class Model:
             F.col("doc_id").alias("review_id"), F.col("quality").cast("bigint"), F.col("toxic").cast("bigint")
         )
 
-    def clicks(self) -> DataFrame:
+    def clicks(self, deal: bool = False) -> DataFrame:
         device = F.element_at(
             F.array(*[F.lit(d) for d in DEVICES]), (1 + F.col("event_id") % 3).cast("int")
         )
-        return self.table("events").select(
+        return self.table("events", deal_by="event_id" if deal else None).select(
             "event_id",
             F.when(F.col("event_id") % 6 != 0, F.col("user_id")).alias("customer_id"),
             F.concat_ws("/", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("session_id"),

@@ -65,7 +65,12 @@ def apply_changes(
     values = {c: F.col(f"s.{c}") for c in target.columns if c not in keys}
     gone, come = F.col("s.action") == DELETE, F.col("s.action") == INSERT
     return merge(
-        target, news, keys, [Clause("delete", gone), Clause("update", come, values)], [Clause("insert", come, values)]
+        target,
+        news,
+        keys,
+        matched=[Clause("delete", gone), Clause("update", come, values)],
+        not_matched=[Clause("insert", come, values)],
+        unique=sequence is not None,
     )
 
 

@@ -69,6 +69,16 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
 
 
+ASK = object()
+
+
+def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
+    """The hot keys, stored, or None; one pass over the key columns.  A caller with
+    several windows over the same rows finds them once and hands them on."""
+    hot = hot_groups(df, keys, hot_rows or HOT_ROWS)
+    return None if hot.isEmpty() else durable(hot)
+
+
 def _split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame | None, DataFrame]:
     """(rows of ordinary keys, rows of hot keys)."""
     if not keys:
@@ -149,12 +159,14 @@ def in_order(
     order: Sequence[Order],
     outputs: Sequence[Position | Running | Neighbour],
     hot_rows: int | None = None,
+    hot=ASK,
 ) -> DataFrame:
     """Add ordered-window columns per key.  ``order`` must end in a unique column."""
-    hot = hot_groups(df, keys, hot_rows or HOT_ROWS)
-    if hot.isEmpty():
+    if hot is ASK:
+        hot = find_hot(df, keys, hot_rows)
+    if hot is None:
         return _plain(df, keys, order, outputs)
-    cold, heavy = _split_hot(df, keys, durable(hot) if keys else hot)
+    cold, heavy = _split_hot(df, keys, hot)
     done = _in_pieces(heavy, keys, order, outputs)
     return done if cold is None else _plain(cold, keys, order, outputs).unionByName(done)
 
@@ -166,9 +178,11 @@ def ranked(
     rank: str = "rank",
     dense: str = "dense_rank",
     hot_rows: int | None = None,
+    hot=ASK,
 ) -> DataFrame:
     """Rank with gaps and without, ties sharing a rank."""
-    hot = hot_groups(df, keys, hot_rows or HOT_ROWS)
+    if hot is ASK:
+        hot = find_hot(df, keys, hot_rows)
     w = Window.partitionBy(*keys).orderBy(by.column())
 
     def direct(d: DataFrame) -> DataFrame:
@@ -176,14 +190,14 @@ def ranked(
             {rank: F.rank().over(w).cast("bigint"), dense: F.dense_rank().over(w).cast("bigint")}
         )
 
-    if hot.isEmpty():
+    if hot is None:
         return direct(df)
-    cold, heavy = _split_hot(df, keys, durable(hot) if keys else hot)
+    cold, heavy = _split_hot(df, keys, hot)
     # Rank of a value = rows before its first row; counted on distinct values, so
     # that any number of ties is one row here.
     values = heavy.groupBy(*keys, by.name).agg(F.count(F.lit(1)).alias("_n"))
     values = in_order(values, keys, [by], [Position(dense), Running("_upto", "_n")], hot_rows)
-    values = values.withColumn(rank, F.col("_upto") - F.col("_n") + 1)
+    values = durable(values.withColumn(rank, F.col("_upto") - F.col("_n") + 1))
     on = [*keys, by.name]
     placed = heavy.alias("r").join(values.alias("v"), _same("r", "v", on), "left")
     placed = placed.select("r.*", f"v.{rank}", f"v.{dense}")
@@ -191,10 +205,21 @@ def ranked(
 
 
 def tiles(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Order], n: int, out: str, hot_rows: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Order],
+    n: int,
+    out: str,
+    hot_rows: int | None = None,
+    hot=ASK,
 ) -> DataFrame:
     """Cut each group into ``n`` nearly equal tiles, larger tiles first."""
-    placed = in_order(df, keys, order, [Position("_pos")], hot_rows)
+    if hot is ASK:
+        hot = find_hot(df, keys, hot_rows)
+    if hot is None:
+        w = Window.partitionBy(*keys).orderBy(*[o.column() for o in order])
+        return df.withColumn(out, F.ntile(n).over(w).cast("bigint"))
+    placed = in_order(df, keys, order, [Position("_pos")], hot_rows, hot)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
     if keys:
         placed = attach(placed, sizes, keys, "_all", [o.name for o in order], hot_rows)
@@ -251,19 +276,42 @@ def best_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Order], k
     return df.withColumn(out, F.row_number().over(w).cast("bigint")).filter(F.col(out) <= k)
 
 
-def first_rows(df: DataFrame, order: Sequence[Order], k: int, day: Column, newest_first: bool) -> DataFrame:
+def first_rows(
+    df: DataFrame,
+    order: Sequence[Order],
+    k: int,
+    day: Column,
+    newest_first: bool,
+    at_most: DataFrame | None = None,
+    hot_rows: int | None = None,
+) -> DataFrame:
     """``orderBy(order).limit(k)`` for a large ``k``.
 
-    A plain limit makes every task hand ``k`` rows to one task.  Counting rows per
-    ``day`` (the leading sort column cut to a coarse value) first gives the value
-    up to which rows can matter; only those rows are sorted.
+    A plain limit makes every task hand up to ``k`` rows to one task, which is fine
+    for a table of ordinary size (``at_most`` names one with no fewer rows, cheap to
+    count).  Beyond that, rows are counted per ``day`` (the leading sort column, cut
+    to a coarse value) to find the day in which row ``k`` lies.  Only days up to it
+    are sorted; the predicate reaches the scan that holds the day.  If that one day
+    is itself very large, its rows are placed by ``in_order``.
     """
+    limit = hot_rows or HOT_ROWS
+    by = [o.column() for o in order]
+    if at_most is not None and at_most.count() <= limit:
+        return df.orderBy(*by).limit(k)
     w = Window.orderBy(F.col("_day").desc() if newest_first else F.col("_day").asc())
     counts = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
-    reach = counts.withColumn("_before", F.sum("_n").over(w) - F.col("_n")).filter(F.col("_before") < k)
-    edge = reach.agg(F.min("_day") if newest_first else F.max("_day")).scalar()
-    kept = df.filter(day >= edge) if newest_first else df.filter(day <= edge)
-    return kept.orderBy(*[o.column() for o in order]).limit(k)
+    # One row per calendar day.
+    upto = counts.withColumn("_upto", F.sum("_n").over(w)).filter(F.col("_upto") >= k)
+    edge = upto.orderBy("_upto").first()
+    if edge is None:
+        return df.orderBy(*by)
+    last = F.lit(edge["_day"])
+    if edge["_n"] <= limit:
+        return df.filter(day >= last if newest_first else day <= last).orderBy(*by).limit(k)
+    within = df.filter(day > last if newest_first else day < last)
+    at_edge = in_order(df.filter(day == last), [], order, [Position("_pos")], limit)
+    rest = at_edge.filter(F.col("_pos") <= k - (edge["_upto"] - edge["_n"])).drop("_pos")
+    return within.unionByName(rest).orderBy(*by)
 
 
 def dense_ids(df: DataFrame, order: Sequence[Order], out: str, start: int = 1) -> DataFrame:

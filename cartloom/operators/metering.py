@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.operators.groups import Neighbour, Order, Running, in_order
+from cartloom.operators.groups import Neighbour, Order, Running, find_hot, in_order
 
 MINIMUM_SECONDS = 60
 
@@ -21,11 +21,12 @@ def sessions(
     """
     order = [Order(at), Order(tie)]
     log = log.select(key, at, tie)
-    s = in_order(log, [key], order, [Neighbour("_before", at)], hot_rows)
+    hot = find_hot(log, [key], hot_rows)
+    s = in_order(log, [key], order, [Neighbour("_before", at)], hot_rows, hot)
     gap = F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.col("_before").cast("timestamp"))
     starts = F.when(F.col("_before").isNull() | (gap > idle_seconds * 1_000_000), 1).otherwise(0)
     s = s.withColumn("_start", starts.cast("bigint")).drop("_before")
-    s = in_order(s, [key], order, [Running("session_no", "_start")], hot_rows)
+    s = in_order(s, [key], order, [Running("session_no", "_start")], hot_rows, hot)
     return s.groupBy(key, "session_no").agg(
         F.min(at).alias("started_at"), F.max(at).alias("ended_at"), F.count(F.lit(1)).alias("actions")
     )

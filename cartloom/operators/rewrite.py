@@ -84,14 +84,16 @@ def merge(
     not_matched: Sequence[Clause] = (),
     not_matched_by_source: Sequence[Clause] = (),
     keep_action: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """The target after a merge; the first clause that applies to a row wins.
 
     Keys are unique on both sides, so the full join deals every key to one place.
+    ``unique`` says that the source's keys are so by construction and need no check.
     With ``keep_action`` deleted rows stay, and ``_action`` tells what happened.
     """
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
-    s = once_per_key(source, keys).withColumn("_in_s", F.lit(True)).alias("s")
+    s = (source if unique else once_per_key(source, keys)).withColumn("_in_s", F.lit(True)).alias("s")
     on = F.lit(True)
     for k in keys:
         on = on & (F.col(f"t.{k}") == F.col(f"s.{k}"))

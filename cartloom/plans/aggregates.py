@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cartloom.functions.scalar import mean, money, month, pct, r2, refunded, rows, total_of
 from cartloom.functions.udfs import custom_aggregate
 from cartloom.operators import quality
-from cartloom.operators.groups import Order, attach, ranked, tiles
+from cartloom.operators.groups import Order, attach, find_hot, ranked, tiles
 from cartloom.operators.hierarchy import walk
 from cartloom.plans import oracle as q
 from cartloom.plans.joins import between, per_order_totals, supplier_ratings, ts
@@ -174,7 +174,7 @@ def revenue_year_region(m):
   CAST(sum(quantity) AS BIGINT) AS sold, {q.money('line_total')} AS revenue FROM item GROUP BY product_id)
   JOIN prod USING (product_id) ORDER BY revenue DESC, product_id LIMIT 10""")
 def top_products(m):
-    sold = m.items().groupBy("product_id").agg(
+    sold = m.items(deal=False).groupBy("product_id").agg(
         F.sum("quantity").cast("bigint").alias("sold"), money("line_total").alias("revenue")
     )
     best = sold.orderBy(F.desc("revenue"), "product_id").limit(10)
@@ -270,9 +270,10 @@ def rfm(m):
     g = g.withColumn("recency", F.datediff(last_day, F.col("_last")).cast("bigint")).drop("_last")
     # One row per customer, read by three rankings: stored once.
     g, tie = durable(g), Order("customer_id")
-    g = tiles(g, [], [Order("recency"), tie], 5, "r")
-    g = tiles(g, [], [Order("frequency", True), tie], 5, "f")
-    g = tiles(g, [], [Order("monetary", True), tie], 5, "mo")
+    hot = find_hot(g, [])
+    g = tiles(g, [], [Order("recency"), tie], 5, "r", hot=hot)
+    g = tiles(g, [], [Order("frequency", True), tie], 5, "f", hot=hot)
+    g = tiles(g, [], [Order("monetary", True), tie], 5, "mo", hot=hot)
     return g.withColumn("score", F.col("r") + F.col("f") + F.col("mo"))
 
 
@@ -310,7 +311,7 @@ def event_funnel(m):
   {q.money('gross')} AS gross, {q.money('line_total')} AS net, {q.mean('quantity')} AS avg_units,
   {q.mean('gross')} AS avg_gross, count(*) AS items FROM item WHERE shipped_at <= TIMESTAMP '2001-06-02' GROUP BY ALL""")
 def pricing_summary(m):
-    i = m.items().filter(F.col("shipped_at") <= ts("2001-06-02"))
+    i = m.items(deal=False).filter(F.col("shipped_at") <= ts("2001-06-02"))
     return i.groupBy("return_flag", "line_status").agg(
         F.sum("quantity").cast("bigint").alias("units"),
         money("gross").alias("gross"),
@@ -423,8 +424,9 @@ def supplier_scorecard(m):
     )
     s = sales.join(supplier_ratings(m), "supplier_id", "left").fillna(0.0, ["avg_rating"])
     s = durable(s)
+    hot = find_hot(s, [])
     for by, out in ((Order("revenue", True), "revenue_rank"), (Order("refund_pct"), "refund_rank"), (Order("avg_rating", True), "rating_rank")):
-        s = ranked(s, [], by, out, "_dense").drop("_dense")
+        s = ranked(s, [], by, out, "_dense", hot=hot).drop("_dense")
     others = s.agg(rows() - 1).scalar()
     ranks = F.col("revenue_rank") + F.col("refund_rank") + F.col("rating_rank") - 3
     return s.withColumn("overall", F.round((ranks / (3.0 * others)).cast("decimal(38,8)"), 4).cast("double"))

@@ -17,7 +17,7 @@ def path(column: str, where: str, kind: str):
 def documents(m):
     """One JSON document per click event, kept as one VARIANT per row: who did what,
     the event's own JSON, and the list of tags."""
-    c = m.clicks()
+    c = m.clicks(deal=True)
     text = F.to_json(
         F.struct(
             F.struct("customer_id", "device").alias("who"),

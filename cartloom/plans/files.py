@@ -24,7 +24,7 @@ def orders_csv(m, label, sep=","):
     """Orders as CSV parts in which placed orders have an 'N/A' total."""
     path = scratch(m.spark, label)
     total = F.when(F.col("order_status") == "placed", "N/A").otherwise(F.col("order_total").cast("string"))
-    o = m.orders().withColumns({"order_total": total, "created_at": F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")})
+    o = m.orders(deal=True).withColumns({"order_total": total, "created_at": F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")})
     writers.csv_parts(o, path, sep=sep)
     return path
 

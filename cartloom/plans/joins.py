@@ -341,4 +341,4 @@ def sort_large_join(m):
         "order_id", "product_id", F.col("line_no").cast("bigint").alias("line_no"), "quantity", "gross"
     )
     joined = m.orders().select("order_id", "customer_id", "created_at").join(lines, "order_id")
-    return first_rows(joined, order, 500_000, F.col("created_at").cast("date"), newest_first=True)
+    return first_rows(joined, order, 500_000, F.col("created_at").cast("date"), True, at_most=m.table("lineitem"))

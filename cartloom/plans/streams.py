@@ -10,7 +10,7 @@ from cartloom.operators import changes
 from cartloom.operators.groups import Order
 from cartloom.plans.changes import COLS, KEY, V2, order_rules, version_two
 from cartloom.plans.registry import query
-from cartloom.session import scratch
+from cartloom.session import durable, scratch
 from cartloom.streaming import alerts, cdc, ingest
 
 
@@ -47,7 +47,7 @@ def stream_cdc_merge(m):
     repeating part of the earlier."""
     table, feeds, mark = paths(m, "orders", "feed", "mark")
     m.orders().write.parquet(f"{table}/version=0")
-    feed = changes.change_feed(m.orders(), version_two(m), KEY)
+    feed = durable(changes.change_feed(m.orders(), version_two(m), KEY))
     numbered = lambda n: feed.withColumn("round", F.lit(n))
     order = [Order("round"), Order("is_update")]
     for n, part in ((1, numbered(1).filter(~F.col("is_update"))), (2, numbered(2))):

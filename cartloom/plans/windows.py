@@ -18,6 +18,7 @@ from cartloom.operators.groups import (
     Running,
     attach,
     best_per_group,
+    find_hot,
     in_order,
     newest,
     ranked,
@@ -74,9 +75,10 @@ RATINGS = f"""(SELECT category, product_name, {q.mean('rating')} AS avg_rating,
   category ORDER BY avg_rating DESC) AS rank_dense FROM {RATINGS}""")
 def rank_variants(m):
     r = product_ratings(m)
-    by = Order("avg_rating", True)
-    r = in_order(r, ["category"], [by, Order("product_name")], [Position("place")])
-    return ranked(r, ["category"], by, "rank_gaps", "rank_dense")
+    by, key = Order("avg_rating", True), ["category"]
+    hot = find_hot(r, key)
+    r = in_order(r, key, [by, Order("product_name")], [Position("place")], hot=hot)
+    return ranked(r, key, by, "rank_gaps", "rank_dense", hot=hot)
 
 
 @query("spend_quartiles", f"""WITH c AS (SELECT customer_id, {q.money('order_total')} AS spent FROM ord
@@ -216,10 +218,10 @@ def customer_behaviour(m):
     o = o.withColumn("vs_own_avg", r2(F.col("order_total") - F.round("_spent", 2) / F.col("_done")))
     o = o.drop("_n", "_done", "_spent")
     key = ["customer_id"]
-    o = in_order(
-        o, key, BY_DATE, [Position("order_no"), Running("spent_so_far", "order_total"), Neighbour("_last", "created_at")]
-    )
-    o = ranked(o, key, Order("order_total", True), "spend_rank", "_dense")
+    hot = find_hot(m.orders("delivered"), key)
+    history = [Position("order_no"), Running("spent_so_far", "order_total"), Neighbour("_last", "created_at")]
+    o = in_order(o, key, BY_DATE, history, hot=hot)
+    o = ranked(o, key, Order("order_total", True), "spend_rank", "_dense", hot=hot)
     return o.withColumns(
         {
             "spent_so_far": F.round("spent_so_far", 2),
