@@ -106,9 +106,14 @@ def _plain(df: DataFrame, keys: Sequence[str], order: Sequence[Order], outputs)
     return df.withColumns(added)
 
 
-def _in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[Order], outputs) -> DataFrame:
-    spark = df.sparkSession
-    pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _pieces(hot: DataFrame, limit: int) -> int:
+    """Pieces for the rows of the hot keys: none much above ``limit`` rows."""
+    total = hot.agg(F.sum("_rows")).first()[0]
+    usual = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, -(-total // limit))
+
+
+def _in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[Order], outputs, pieces: int) -> DataFrame:
     by_order = [o.column() for o in order]
     # A range partition on key and order cuts a hot key into contiguous runs; it is
     # stored so that the cut points stay the same for the passes below.
@@ -147,7 +152,7 @@ def _in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[Order], outpu
 
     ends = cut.groupBy(*part).agg(*[v.alias(k) for k, v in summary.items()])
     ends = ends.withColumns(carry).select(*part, "_size", *carry)
-    # One row per piece and hot key: bounded by shuffle partitions + hot keys.
+    # One row per piece and hot key: bounded by pieces + hot keys.
     joined = cut.alias("r").join(F.broadcast(ends.alias("e")), _same("r", "e", part), "inner")
     joined = joined.select("r.*", "e._size", *[f"e.{c}" for c in carry])
     return joined.withColumns(added).select(*df.columns, *added)
@@ -167,7 +172,7 @@ def in_order(
     if hot is None:
         return _plain(df, keys, order, outputs)
     cold, heavy = _split_hot(df, keys, hot)
-    done = _in_pieces(heavy, keys, order, outputs)
+    done = _in_pieces(heavy, keys, order, outputs, _pieces(hot, hot_rows or HOT_ROWS))
     return done if cold is None else _plain(cold, keys, order, outputs).unionByName(done)
 
 

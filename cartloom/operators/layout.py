@@ -8,9 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def file_ranges(df: DataFrame, column: str) -> DataFrame:
-    """Smallest and largest value per data file, reading that column only."""
-    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+def folder() -> Column:
+    """The folder of a row's file, for layouts judged by folder."""
+    return F.regexp_extract("_metadata.file_path", "^(.*)/", 1)
+
+
+def file_ranges(df: DataFrame, column: str, unit: Column | None = None) -> DataFrame:
+    """Smallest and largest value per data file (or other unit), reading that column
+    only."""
+    unit = F.col("_metadata.file_path") if unit is None else unit
+    return df.groupBy(unit.alias("file")).agg(
         F.min(column).alias("lo"), F.max(column).alias("hi"), F.count(F.lit(1)).alias("rows")
     )
 
@@ -24,14 +31,14 @@ def _number(c: str, df: DataFrame) -> Column:
     return F.col(c).cast("double")
 
 
-def clustering_report(df: DataFrame, column: str) -> DataFrame:
+def clustering_report(df: DataFrame, column: str, unit: Column | None = None) -> DataFrame:
     """One row: files, mean overlaps (other files whose range meets a file's own)
     and mean depth (files covering a value, averaged over the covered range).
 
     A sweep over the ends of the ranges: two rows per file, whatever the table's
     size, which is what the one ordered window below sees.
     """
-    r = file_ranges(df, column)
+    r = file_ranges(df, column, unit)
     r = r.select("file", _number("lo", r).alias("lo"), _number("hi", r).alias("hi"))
     ends = r.select("file", F.inline(F.array(
         F.struct(F.col("lo").alias("at"), F.lit(0).alias("closing")),
@@ -59,9 +66,9 @@ def clustering_report(df: DataFrame, column: str) -> DataFrame:
     ).withColumn("avg_depth", F.round(depth.scalar(), 4))
 
 
-def pruning_report(df: DataFrame, column: str, low, high) -> DataFrame:
+def pruning_report(df: DataFrame, column: str, low, high, unit: Column | None = None) -> DataFrame:
     """Files a range predicate must read, by their value ranges."""
-    r = file_ranges(df, column)
+    r = file_ranges(df, column, unit)
     needed = (F.col("hi") >= F.lit(low)) & (F.col("lo") <= F.lit(high))
     return r.agg(F.count(F.lit(1)).alias("files"), F.count_if(needed).alias("files_scanned")).withColumn(
         "pct_scanned", F.round(100.0 * F.col("files_scanned") / F.col("files"), 2)

@@ -8,6 +8,7 @@ from cartloom.operators import layout
 from cartloom.plans.joins import ts
 from cartloom.plans.registry import query
 from cartloom.session import scratch
+from cartloom.sources import writers
 
 FILES = 8
 
@@ -27,20 +28,49 @@ def by_order(m):
     return layout.cluster_rewrite(lines(m), scratch(m.spark, "by-order"), ["order_id", "line_no"], FILES)
 
 
-@query("clustering_report")
+def by_month(m):
+    """Orders in a folder per month of their date."""
+    path = scratch(m.spark, "by-month")
+    o = m.orders().withColumn("order_month", F.date_format("created_at", "yyyy-MM"))
+    writers.partitioned(o, path, ["order_month"])
+    return m.spark.read.schema(o.schema).parquet(path)
+
+
+RANGES = """SELECT strftime(created_at, '%Y-%m') AS u, min({x}) AS lo, max({x}) AS hi FROM ord GROUP BY 1"""
+
+
+def report_sql(column, x):
+    return f"""SELECT '{column}' AS "column", (SELECT count(*) FROM {column}_r) AS files,
+  (SELECT round(avg(n), 4) FROM (SELECT a.u, count(*) - 1 AS n FROM {column}_r a JOIN {column}_r b ON a.lo <= b.hi
+  AND b.lo <= a.hi GROUP BY a.u)) AS avg_overlaps, (SELECT round(sum(c * w) / sum(CASE WHEN c > 0 THEN w END), 4)
+  FROM (SELECT s.p, CAST(s.q - s.p AS DOUBLE) AS w, (SELECT count(*) FROM {column}_r r WHERE r.lo <= s.p AND r.hi >= s.q) AS c
+  FROM (SELECT p, lead(p) OVER (ORDER BY p) AS q FROM (SELECT DISTINCT lo AS p FROM {column}_r UNION SELECT hi FROM {column}_r)) s
+  WHERE s.q IS NOT NULL)) AS avg_depth"""
+
+
+REPORTED = {"created_at": "epoch_us(created_at)", "order_id": "order_id", "order_total": "order_total"}
+
+
+@query("clustering_report", "WITH " + ", ".join(f"{c}_r AS ({RANGES.format(x=x)})" for c, x in REPORTED.items())
+       + " " + " UNION ALL ".join(report_sql(c, x) for c, x in REPORTED.items()))
 def clustering_report(m):
-    t = by_order(m)
-    reports = [layout.clustering_report(t, c) for c in ("order_id", "product_id", "shipped_at")]
-    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+    """Overlap and depth of three columns over folders cut by one of them."""
+    t = by_month(m)
+    a, b, c = (layout.clustering_report(t, name, layout.folder()) for name in REPORTED)
+    return a.unionByName(b).unionByName(c)
 
 
-@query("pruning_report")
+@query("pruning_report", f"""SELECT 'one month' AS predicate, count(*) AS files, count(*) FILTER (hi >= TIMESTAMP '1997-03-05' AND
+  lo <= TIMESTAMP '1997-03-25') AS files_scanned, round(100e0 * count(*) FILTER (hi >= TIMESTAMP '1997-03-05' AND lo <= TIMESTAMP
+  '1997-03-25') / count(*), 2) AS pct_scanned FROM ({RANGES.format(x='created_at')}) UNION ALL
+  SELECT 'one total', count(*), count(*) FILTER (hi >= 250000 AND lo <= 250000), round(100e0 * count(*) FILTER (hi >= 250000
+  AND lo <= 250000) / count(*), 2) FROM ({RANGES.format(x='order_total')})""")
 def pruning_report(m):
-    t = layout.cluster_rewrite(lines(m), scratch(m.spark, "by-date"), ["shipped_at", "order_id"], FILES)
-    month = layout.pruning_report(t, "shipped_at", ts("1997-03-01"), ts("1997-03-31"))
-    product = layout.pruning_report(t, "product_id", 17, 17)
+    t = by_month(m)
+    month = layout.pruning_report(t, "created_at", ts("1997-03-05"), ts("1997-03-25"), layout.folder())
+    total = layout.pruning_report(t, "order_total", 250000.0, 250000.0, layout.folder())
     return month.withColumn("predicate", F.lit("one month")).unionByName(
-        product.withColumn("predicate", F.lit("one product"))
+        total.withColumn("predicate", F.lit("one total"))
     )
 
 

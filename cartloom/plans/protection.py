@@ -172,6 +172,7 @@ def udtf_monthly_history(m):
     per_month = m.orders().groupBy("customer_id", month("created_at").alias("order_month")).agg(
         rows().alias("orders"), money("order_total").alias("spent")
     )
+
     @F.udtf(returnType="customer_id bigint, order_month timestamp_ntz, orders bigint, spent double")
     class MonthlyHistory:
         def __init__(self):

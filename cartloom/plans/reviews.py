@@ -103,18 +103,16 @@ def filter_text(m):
 def top_terms_per_group(m):
     """Terms by the number of one-star reviews that hold them, three per category.
 
-    A review's words are made distinct inside the row, before it is exploded, and
-    counted on the map side; the last step keeps three rows per task and category.
+    A review becomes the list of its distinct words before it meets its product, so
+    no text is shuffled; words are counted on the map side, and the last step keeps
+    three rows per task and category.
     """
-    stop = F.array(*[F.lit(w) for w in STOP])
-    r = m.reviews().filter(F.col("rating") == 1).select("product_id", "review_text")
-    r = r.join(m.products().select("product_id", "category"), "product_id")
     kept = F.filter(
-        F.array_distinct(text.words(F.col("review_text"))),
-        lambda w: (F.length(w) > 2) & ~F.array_contains(stop, w),
+        F.array_distinct(text.words(F.col("review_text"))), lambda w: (F.length(w) > 2) & ~w.isin(STOP)
     )
-    terms = r.select("category", F.explode(kept).alias("term"))
-    n = terms.groupBy("category", "term").agg(rows().alias("reviews"))
+    r = m.reviews().filter(F.col("rating") == 1).select("product_id", kept.alias("terms"))
+    r = r.join(m.products().select("product_id", "category"), "product_id")
+    n = r.select("category", F.explode("terms").alias("term")).groupBy("category", "term").agg(rows().alias("reviews"))
     return best_per_group(n, ["category"], [Order("reviews", True), Order("term")], 3, "place")
 
 

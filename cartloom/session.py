@@ -59,9 +59,19 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def _own_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/cartloom/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_root(spark)}/cartloom/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below this application's part of the shared folder."""
+    return f"{_own_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application stored; call it when its results are consumed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -40,8 +40,12 @@ def split_stream(rows: DataFrame, rules: list[tuple[Column, str]], valid: str, r
     of a batch go to a folder of that batch, so a repeat replaces them."""
 
     def write(batch: DataFrame, number: int) -> None:
-        good, bad = route(batch, rules)
-        good.write.mode("overwrite").parquet(f"{valid}/batch={number}")
-        bad.write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+        batch.persist()  # two writes, one read of the arriving files
+        try:
+            good, bad = route(batch, rules)
+            good.write.mode("overwrite").parquet(f"{valid}/batch={number}")
+            bad.write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+        finally:
+            batch.unpersist()
 
     each_batch(rows, checkpoint, write)

@@ -119,3 +119,16 @@ def test_sessions_and_quota_when_one_key_is_hot(spark):
     assert a.agg(F.sum("actions")).first()[0] == 500
     quota = lambda hot: metering.quota_crossings(log, "at", "id", "v", 40.0, [50, 100], hot_rows=hot)
     assert rows_of(quota(None)) == rows_of(quota(HOT)) != []
+
+
+def test_stored_stages_are_released(spark):
+    import os
+
+    from cartloom.session import durable, release, scratch
+
+    df = durable(spark.range(3))
+    assert df.count() == 3
+    stage = df.inputFiles()[0].replace("file://", "")
+    assert os.path.exists(stage) and os.path.dirname(scratch(spark, "x")) in stage
+    release(spark)
+    assert not os.path.exists(stage)
