@@ -1,7 +1,9 @@
 """The commerce entities, each a projection over the stored tables.
 
-Status filters are given to the entity function, which applies them to the
-stored code, so that they reach the Parquet scan.
+Attributes the stored tables lack (cost, rating, device, anonymous visitors) are
+computed from keys; no row is dropped for it.  Status filters are given to the
+entity function, which applies them to the stored code, so that they reach the
+Parquet scan.
 """
 
 from __future__ import annotations

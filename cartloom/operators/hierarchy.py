@@ -20,7 +20,7 @@ def walk(
     shared storage, which keeps the plan short and survives a lost executor.  A
     tree still growing after ``max_depth`` levels contains a cycle.
     """
-    nodes = nodes.select(node, parent, label)
+    nodes = durable(nodes.select(node, parent, label))  # read once per level
     level = nodes.filter(F.col(parent).isNull()).select(
         node, label, F.lit(0).cast("bigint").alias("depth"), F.col(label).alias("path")
     )

@@ -173,7 +173,7 @@ def udtf_monthly_history(m):
         rows().alias("orders"), money("order_total").alias("spent")
     )
 
-    @F.udtf(returnType="customer_id bigint, order_month timestamp_ntz, orders bigint, spent double")
+    @F.udtf(returnType="customer_id bigint, order_month timestamp_ntz, orders bigint, spent double", useArrow=True)
     class MonthlyHistory:
         def __init__(self):
             self.months = []

@@ -49,12 +49,9 @@ def usage_summary(m):
   GROUP BY service""")
 def usage_by_service(m):
     """A service nobody used reports zero and does not vanish."""
-    u = m.usage()
-    per = u.groupBy("resource").agg(money("credits").alias("credits"), rows().alias("actions"))
-    none = per.limit(0).unionByName(
-        m.spark.range(1).select(
-            F.lit("archive").alias("resource"), F.lit(0.0).alias("credits"), F.lit(0).cast("bigint").alias("actions")
-        )
+    per = m.usage().groupBy("resource").agg(money("credits").alias("credits"), rows().alias("actions"))
+    none = m.spark.range(1).select(
+        F.lit("archive").alias("resource"), F.lit(0.0).alias("credits"), F.lit(0).cast("bigint").alias("actions")
     )
     services = per.unionByName(none).groupBy(F.col("resource").alias("service"))
     both = services.agg(F.sum("credits").alias("credits"), F.sum("actions").alias("actions"))

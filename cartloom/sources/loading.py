@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartloom.operators.groups import attach
-from cartloom.sources.readers import CsvFormat, as_struct, cleaned, converted
+from cartloom.sources.readers import CsvFormat, as_struct, cleaned, converted, csv_text
 
 CORRUPT = "_corrupt"
 
@@ -52,12 +52,18 @@ def checked(
 ) -> DataFrame:
     """Every record with typed columns, its file and line, and its errors.
 
-    Nothing is rejected here: a cell that does not convert is NULL and listed in
-    ``_errors`` as (column, type, value, message).
+    Columns are found by header name; all files must share one header.  No record
+    is rejected here: a cell that does not convert is NULL and listed in ``_errors``
+    as (column, type, value, message).
     """
     fields = as_struct(schema)
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields] + [T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.options(**fmt.options()).option("header", True).option("columnNameOfCorruptRecord", CORRUPT)
+    header = csv_text(spark, path, fmt, pattern).columns
+    missing = [f.name for f in fields if f.name not in header]
+    if missing:
+        raise LoadError(f"the files have no columns {missing}")
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+    reader = spark.read.options(**fmt.options()).option("header", True).option("enforceSchema", False)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     raw = with_line_numbers(reader.schema(texts).csv(path))
@@ -79,7 +85,7 @@ def checked(
         F.lit("").alias("column"),
         F.lit("").alias("type"),
         F.col(CORRUPT).alias("value"),
-        F.lit(f"record does not have {len(fields)} columns").alias("message"),
+        F.lit(f"record does not have {len(header)} columns").alias("message"),
     )
     errors.append(F.when(F.col(CORRUPT).isNotNull(), shape))
     return raw.select(

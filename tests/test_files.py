@@ -12,6 +12,7 @@ from cartloom.sources import loading, readers, writers
 from cartloom.sources.loading import LoadError, OnError
 from cartloom.sources.readers import CsvFormat
 
+# The load example with two bad cells.
 DDL = "id bigint, name string, price double, created_at date"
 ERROR_TEST = """id,name,price,created_at
 1,Widget A,19.99,2024-01-15
@@ -89,6 +90,15 @@ def test_wrong_number_of_columns_and_formats(spark, tmp_path):
     assert [(r["id"], r["ok"], str(r["day"])) for r in first] == [(1, True, "2024-12-31")]
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("created_at,price,note,id,name\n2024-01-15,2.5,x,1,one\n2024-01-16,bad,y,2,two\n")
+    checked = loading.checked(spark, str(tmp_path), DDL)
+    assert rows_of(loading.load(checked, OnError.CONTINUE), "id", "name", "price") == [(1, "one", 2.5)]
+    assert rows_of(loading.bad_cells(checked), "line", "column") == [(3, "price")]
+    with pytest.raises(LoadError, match="no columns"):
+        loading.checked(spark, str(tmp_path), "id bigint, weight double")
+
+
 def test_loaded_files_are_skipped_unless_forced(spark, inbox, tmp_path):
     nothing = spark.createDataFrame([], "file string, status string")
     assert len(loading.new_files(spark, inbox, nothing, pattern="*.csv")) == 2

@@ -161,6 +161,7 @@ def test_dead_letter_reasons(spark):
     ]
 
 
+# The category example.
 CATEGORIES = [
     (1, "Electronics", None), (2, "Computers", 1), (3, "Laptops", 2), (4, "Gaming Laptops", 3),
     (5, "Phones", 2), (6, "Clothing", None), (7, "Mens", 6), (8, "Womens", 6),
