@@ -18,6 +18,9 @@ from cartloom.session import tune
 STATUS = {"F": "delivered", "O": "shipped", "P": "placed"}
 DEVICES = ["desktop", "mobile", "tablet"]
 
+# Scans of fewer splits than this (2 GB at the default split size) are short.
+SHORT_SCAN = 16
+
 # Schema and number of scan tasks of the tables read so far: finding out costs a job.
 _schemas: dict[str, T.StructType] = {}
 _splits: dict[str, int] = {}
@@ -32,9 +35,10 @@ class Model:
         """A stored table.
 
         A file of few row groups is read by few tasks, and all work up to the next
-        shuffle runs in them.  With ``deal_by`` the rows of such a short scan are
-        dealt over the cores by that column; a scan with enough splits, as any large
-        table has, is left alone.
+        shuffle runs in them.  With ``deal_by`` the rows of such a short scan are dealt
+        over the cores by a column, which later joins and groupings by it reuse.  Only
+        scans of a few splits are dealt, so that a very frequent value costs no more
+        than the short scan itself would; larger tables are left alone.
         """
         path = f"{self.path}/{name}.parquet"
         if path not in _schemas:
@@ -45,7 +49,7 @@ class Model:
         cores = self.spark.sparkContext.defaultParallelism
         if path not in _splits:
             _splits[path] = df.rdd.getNumPartitions()
-        return df if _splits[path] >= 2 * cores else df.repartition(cores, deal_by)
+        return df if _splits[path] >= SHORT_SCAN else df.repartition(min(cores, SHORT_SCAN), deal_by)
 
     def geography(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")

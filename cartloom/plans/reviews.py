@@ -112,7 +112,10 @@ def top_terms_per_group(m):
     )
     r = m.reviews().filter(F.col("rating") == 1).select("product_id", kept.alias("terms"))
     r = r.join(m.products().select("product_id", "category"), "product_id")
-    n = r.select("category", F.explode("terms").alias("term")).groupBy("category", "term").agg(rows().alias("reviews"))
+    # An inner explode would have the planner split every text a second time, to
+    # drop reviews without words before the join.
+    terms = r.select("category", F.explode_outer("terms").alias("term")).filter(F.col("term").isNotNull())
+    n = terms.groupBy("category", "term").agg(rows().alias("reviews"))
     return best_per_group(n, ["category"], [Order("reviews", True), Order("term")], 3, "place")
 
 

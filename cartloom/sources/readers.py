@@ -89,8 +89,8 @@ def csv_positional(spark: SparkSession, path: str, columns: Mapping[int, tuple[s
 def json_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array: one VARIANT per element."""
     whole = spark.read.option("multiLine", True).option("singleVariantColumn", "doc").json(path)
-    elements = F.explode(F.variant_get("doc", "$", "array<variant>"))
-    return whole.select(elements.alias("doc"))
+    elements = F.explode_outer(F.variant_get("doc", "$", "array<variant>"))
+    return whole.select(elements.alias("doc")).filter(F.col("doc").isNotNull())
 
 
 def json_lines(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
