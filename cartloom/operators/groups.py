@@ -292,16 +292,17 @@ def first_rows(
 ) -> DataFrame:
     """``orderBy(order).limit(k)`` for a large ``k``.
 
-    A plain limit makes every task hand up to ``k`` rows to one task, which is fine
-    for a table of ordinary size (``at_most`` names one with no fewer rows, cheap to
-    count).  Beyond that, rows are counted per ``day`` (the leading sort column, cut
-    to a coarse value) to find the day in which row ``k`` lies.  Only days up to it
-    are sorted; the predicate reaches the scan that holds the day.  If that one day
-    is itself very large, its rows are placed by ``in_order``.
+    A plain limit sorts everything and makes every task hand up to ``k`` rows to one
+    task.  That is right when most rows are wanted (``at_most`` names a table with no
+    fewer rows that is cheap to count).  Otherwise rows are counted per ``day`` (the
+    leading sort column, cut to a coarse value) to find the day in which row ``k``
+    lies.  Only days up to it are joined and sorted; the predicate reaches the scan
+    that holds the day.  If that one day is itself very large, its rows are placed
+    by ``in_order``.
     """
     limit = hot_rows or HOT_ROWS
     by = [o.column() for o in order]
-    if at_most is not None and at_most.count() <= limit:
+    if at_most is not None and at_most.count() <= min(2 * k, limit):
         return df.orderBy(*by).limit(k)
     w = Window.orderBy(F.col("_day").desc() if newest_first else F.col("_day").asc())
     counts = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
