@@ -9,13 +9,13 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from cartloom.functions.scalar import mean, money, month, pct, r2, refunded, rows, total_of
+from cartloom.functions.scalar import mean, money, month, pct, r2, rows, total_of
 from cartloom.functions.udfs import custom_aggregate
 from cartloom.operators import quality
 from cartloom.operators.groups import Order, attach, find_hot, ranked, tiles
 from cartloom.operators.hierarchy import walk
 from cartloom.plans import oracle as q
-from cartloom.plans.joins import between, per_order_totals, supplier_ratings, ts
+from cartloom.plans.joins import per_order_totals, supplier_ratings, ts
 from cartloom.plans.registry import query
 from cartloom.session import durable
 

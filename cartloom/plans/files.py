@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartloom.functions.scalar import mean, money, month, rows
+from cartloom.functions.scalar import mean, money, rows
 from cartloom.operators.groups import Order
 from cartloom.plans import oracle as q
 from cartloom.plans.projection import RAW_SIZE, raw_sizes

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartloom.functions.scalar import month, mean, money, r2, rows
+from cartloom.functions.scalar import money, month, r2, rows
 from cartloom.operators import evolve
 from cartloom.operators.groups import Order, dense_ids
 from cartloom.plans import oracle as q

@@ -9,7 +9,6 @@ from cartloom.functions import udfs
 from cartloom.functions.scalar import mean, money, month, rows
 from cartloom.operators import protect
 from cartloom.plans import oracle as q
-from cartloom.plans.joins import ts
 from cartloom.plans.registry import query
 
 # The roles of the examples and what they inherit.

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartloom.functions.scalar import mean, money, pct, r2, rows, total_of
+from cartloom.functions.scalar import money, rows, total_of
 from cartloom.operators import metering
 from cartloom.plans import oracle as q
-from cartloom.plans.joins import ts
 from cartloom.plans.registry import query
 
 MONTH_TO_DATE = "start_time >= (SELECT date_trunc('month', max(start_time)) FROM meter)"

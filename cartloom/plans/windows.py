@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartloom.functions.scalar import mean, money, month, pct, r2, rows
+from cartloom.functions.scalar import mean, money, month, r2, rows
 from cartloom.operators.groups import (
     Neighbour,
     Order,
