@@ -1,4 +1,4 @@
 """All queries of this subpackage and their oracle texts."""
 
-from cartloom.llm import chat, lines, urls  # noqa: F401
+from cartloom.llm import chat, language, lines, simhash, tokens, urls  # noqa: F401
 from cartloom.llm.common import ORACLE, QUERIES  # noqa: F401
