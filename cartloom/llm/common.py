@@ -45,16 +45,18 @@ def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def attach(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, how: str = "left") -> DataFrame:
+def attach(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, how: str = "left", total: int | None = None) -> DataFrame:
     """Join ``facts`` (one row per key) to ``rows`` although a key may hold a third of them.
 
     ``weight`` counts the rows of a key in ``rows``. Keys above 1/HEAVY_KEYS of the
     total weight number fewer than HEAVY_KEYS whatever the input, so their facts are
     broadcast; every other key is too small to make a task stand out and is joined by
     shuffle. Both inputs are read twice, so they should be stored. NULL keys match NULL
-    keys. The weight column is not returned.
+    keys. The weight column is not returned. ``total`` saves the sum where the number of
+    rows is known.
     """
-    total = facts.agg(F.sum(weight)).first()[0] or 0
+    if total is None:
+        total = facts.agg(F.sum(weight)).first()[0] or 0
     bar = total // HEAVY_KEYS
     values = [c for c in facts.columns if c not in (*keys, weight)]
     renamed = facts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *values, weight)

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from cartloom.llm.common import attach, durable
 
 
-def _star(edges: DataFrame) -> DataFrame:
+def _star(edges: DataFrame, total: int) -> DataFrame:
     """Point every neighbour ``v`` of ``u`` at the smallest node of the neighbourhood of ``u``.
 
-    ``edges`` holds (u, v) rows and is stored. The centre of a large group has very
+    ``edges`` holds (u, v) rows and is stored, ``total`` is about their number. The centre of a large group has very
     many rows; its minimum comes from partial sums and returns by ``attach``.
     """
     low = durable(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"), F.count("*").alias("n")))
-    return attach(edges, low, ["u"], "n")
+    return attach(edges, low, ["u"], "n", total=total)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,10 +30,10 @@ def components(edges: DataFrame) -> DataFrame:
     state = durable(pairs.distinct())
     mark = _mark(state)
     while mark[0]:
-        both = durable(state.select("u", "v").union(state.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-        large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        both = state.select("u", "v").union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _star(both, 2 * mark[0]).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         large = durable(large.where("u <> v").distinct())
-        near = _star(large)
+        near = _star(large, mark[0])
         small = near.select(F.col("v").alias("u"), F.col("low").alias("v")).union(near.select("u", F.col("low").alias("v")))
         state = durable(small.where("u <> v").distinct())
         now = _mark(state)

@@ -177,6 +177,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id.
+
+    Rows of equal id and text are one document. A row without id is in no component and
+    stays.
+    """
+    found = near_duplicates(docs, doc_id, text, **options)
+    stays = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+    # of rows with that smallest id but different texts the one with the smallest hash stays
+    first = stays.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("mark")).alias("_each")).agg(F.min("mark").alias("_mark"))
+    first = first.select(F.col("doc_id").alias("_id"), "_mark")
+    out = docs.join(first, docs[doc_id].eqNullSafe(F.col("_id")) & (text_mark(docs, text) == F.col("_mark")))
+    return out.dropDuplicates(["_id", "_mark"]).select(*[docs[c] for c in docs.columns])
+
+
 @query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
