@@ -210,9 +210,6 @@ def _deal(depth: int):
     return run
 
 
-_MEMBER = "at string, cls binary, node long, n long, unit binary"
-
-
 def _near_pairs(threshold: float):
     """Keep the node pairs whose covering balls come within the threshold."""
     reach = _reach(threshold)
@@ -251,15 +248,15 @@ def _grow(classes: DataFrame, threshold: float, leaf: int) -> tuple[DataFrame, D
         order = Window.partitionBy("at").orderBy(F.xxhash64("cls", F.lit(depth)), "cls")
         picked = mine.select("at", "cls", "unit", "parts").withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.least(F.lit(FAN), 2 * F.col("parts")))
         sample = picked.groupBy("at").agg(F.max("parts").alias("parts"), F.transform(F.sort_array(F.collect_list(F.struct("k", "unit"))), lambda s: s["unit"]).alias("units"))
-        sample = sample.select("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "units")
-        dealt = mine.select("at", "part", "cls", "node", "n", "unit").groupBy("at", "part").cogroup(sample.groupBy("at", "part"))
+        sample = sample.select(F.col("at").alias("of"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("of_part"), "units")
+        dealt = mine.select("at", "part", "cls", "node", "n", "unit").groupBy("at", "part").cogroup(sample.groupBy("of", "of_part"))
         dealt = durable(dealt.applyInArrow(_deal(depth), "child string, cls binary, node long, n long, unit binary, far double"))
         # the centre of a child is any member; a ball around it is at most twice as wide as around the net's centre
         nodes = dealt.groupBy("child").agg(F.max("far").alias("far"), F.min_by("unit", "far").alias("centre"), F.min("far").alias("off"))
         nodes = nodes.select(F.regexp_replace("child", r"\.[0-9]+$", "").alias("parent"), F.col("child").alias("at"), "centre", (F.col("far") + F.col("off")).alias("radius"))
-        kept = done.select("at").distinct().select(F.col("at").alias("parent"), "at")
-        ball = done.groupBy("at").agg(F.min_by("unit", "cls").alias("centre")).select("at", "centre", F.lit(2.0).alias("radius"))
-        nodes = durable(nodes.unionByName(kept.join(ball, "at")))
+        ready = done.groupBy("at").agg(F.min_by("unit", "cls").alias("centre"))
+        ready = ready.select(F.col("at").alias("parent"), "at", "centre", F.lit(2.0).alias("radius"))
+        nodes = durable(nodes.unionByName(ready))
         left = nodes.select(F.col("parent").alias("a"), F.col("at").alias("child_a"), F.col("centre").alias("centre_a"), F.col("radius").alias("radius_a"))
         right = nodes.select(F.col("parent").alias("b"), F.col("at").alias("child_b"), F.col("centre").alias("centre_b"), F.col("radius").alias("radius_b"))
         opened = pairs.join(left, "a").join(right, "b").where("a <> b OR child_a <= child_b")
