@@ -7,7 +7,7 @@ from cartloom.llm import tokens
 
 TEXTS = [
     "", " ", "The quick, brown fox!", "don't we'll 'r 're x're", "a\x0bb\x0cc\td\r\ne", "<|endoftext|> x<|endoftext|>y <|endof",
-    "!!!<|startoftext|>!!", "Ä ß é é İstanbul ẞ", "x y z\x1cw", "123 4567 12a3", "🙂🙃 漢字かな",
+    "!!!<|startoftext|>!!", "Ä ß é é İstanbul ẞ", "x y z\x1cw", "123 4567 12a3", "🙂🙃 漢字かな", "WORD, Ünï-ßcode×÷ x<y a&&b ªº 1st2nd #%@",
 ]
 LONG = [
     "a" * 90, "the" * 40, "abcdefghijklmnopqrstuvwxyz" * 4 + "!!" * 30 + "'re" * 12, "=" * 70 + "-" * 50, "漢字" * 40,
