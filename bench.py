@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cartloom.plans import load_all
 from cartloom.plans.registry import QUERIES
-from cartloom.session import build_session
+from cartloom.session import build_session, release
 
 HEADLINE = [
     "core_revenue",
@@ -62,6 +62,7 @@ def main() -> None:
         fn = QUERIES[key]
         timed(spark, fn, path)
         seconds[key] = round(min(timed(spark, fn, path) for _ in range(repeats)), 3)
+    release(spark)
     spark.stop()
     sf = os.path.basename(path.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "headline_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": float(sf)}))

@@ -252,16 +252,18 @@ def attach(
     ``size`` is the row count column of ``stats``.  A key above ``hot_rows`` is
     served by several tasks: its stats row is repeated once per task (in total at
     most rows / hot_rows copies) and its rows pick a copy by a hash of
-    ``spread_by``, which is stable when a task is run again.
+    ``spread_by``, which is stable when a task is run again.  NULL keys meet NULL keys.
     """
     limit = hot_rows or HOT_ROWS
     copies = F.ceil(F.col(size) / limit).cast("int")
     hot = stats.filter(F.col(size) > limit).select(*keys, copies.alias("_copies"))
-    marked = rows.join(F.broadcast(hot), list(keys), "left")
+    marked = rows.alias("r").join(F.broadcast(hot.alias("h")), _same("r", "h", keys), "left").select("r.*", "h._copies")
     salt = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_copies")), F.lit(0)).cast("int")
     marked = marked.withColumn("_salt", salt).drop("_copies")
     served = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
-    return marked.join(served, [*keys, "_salt"], how).drop("_salt")
+    values = [c for c in stats.columns if c not in keys]
+    joined = marked.alias("r").join(served.alias("s"), _same("r", "s", [*keys, "_salt"]), how)
+    return joined.select(*[F.col(f"r.{c}") for c in rows.columns], *[F.col(f"s.{c}") for c in values])
 
 
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Order]) -> DataFrame:
@@ -287,35 +289,35 @@ def first_rows(
     k: int,
     day: Column,
     newest_first: bool,
-    at_most: DataFrame | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """``orderBy(order).limit(k)`` for a large ``k``.
 
     A plain limit sorts everything and makes every task hand up to ``k`` rows to one
-    task.  That is right when most rows are wanted (``at_most`` names a table with no
-    fewer rows that is cheap to count).  Otherwise rows are counted per ``day`` (the
-    leading sort column, cut to a coarse value) to find the day in which row ``k``
-    lies.  Only days up to it are joined and sorted; the predicate reaches the scan
-    that holds the day.  If that one day is itself very large, its rows are placed
-    by ``in_order``.
+    task.  Here rows are counted per ``day`` (the leading sort column, cut to a coarse
+    value) to find the day in which row ``k`` lies.  Only days up to it are joined and
+    sorted; the predicate reaches the scan that holds the day.  If that one day is
+    itself very large, its rows are placed by ``in_order``.  Rows without a day come
+    last in either direction, as NULLs do in the order.
     """
     limit = hot_rows or HOT_ROWS
     by = [o.column() for o in order]
-    if at_most is not None and at_most.count() <= min(2 * k, limit):
-        return df.orderBy(*by).limit(k)
-    w = Window.orderBy(F.col("_day").desc() if newest_first else F.col("_day").asc())
+    w = Window.orderBy(F.col("_day").desc_nulls_last() if newest_first else F.col("_day").asc_nulls_last())
     counts = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
     # One row per calendar day.
     upto = counts.withColumn("_upto", F.sum("_n").over(w)).filter(F.col("_upto") >= k)
     edge = upto.orderBy("_upto").first()
     if edge is None:
         return df.orderBy(*by)
-    last = F.lit(edge["_day"])
+    if edge["_day"] is None:
+        before, here = day.isNotNull(), day.isNull()
+    else:
+        last = F.lit(edge["_day"])
+        before, here = (day > last if newest_first else day < last), day == last
     if edge["_n"] <= limit:
-        return df.filter(day >= last if newest_first else day <= last).orderBy(*by).limit(k)
-    within = df.filter(day > last if newest_first else day < last)
-    at_edge = in_order(df.filter(day == last), [], order, [Position("_pos")], limit)
+        return df.filter(before | here).orderBy(*by).limit(k)
+    within = df.filter(before)
+    at_edge = in_order(df.filter(here), [], order, [Position("_pos")], limit)
     rest = at_edge.filter(F.col("_pos") <= k - (edge["_upto"] - edge["_n"])).drop("_pos")
     return within.unionByName(rest).orderBy(*by)
 

@@ -5,43 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartloom.operators.groups import attach
 from cartloom.session import durable
 
-MAX_DEPTH = 100
 
+def walk(nodes: DataFrame, node: str, parent: str, label: str, separator: str = " > ") -> DataFrame:
+    """Depth and path of every node; a root is a node without parent.
 
-def walk(
-    nodes: DataFrame, node: str, parent: str, label: str, separator: str = " > ", max_depth: int = MAX_DEPTH
-) -> DataFrame:
-    """Depth and path of every node reachable from a root (a node without parent).
-
-    One join per level: the frontier of a level meets the nodes by parent.  A node
-    has one parent, so the output never exceeds the input.  Levels are written to
-    shared storage, which keeps the plan short and survives a lost executor.  A
-    tree still growing after ``max_depth`` levels contains a cycle.
+    One join per level: the frontier of a level meets the nodes by parent, and a parent
+    of very many children is served by several tasks.  A node has one parent, so the
+    output never exceeds the input, and the walk ends when a level is empty.  Levels are
+    written to shared storage, which keeps the plan short and survives a lost executor.
+    Repeated ids are refused, and so are nodes that no root reaches: their parents form
+    a cycle or are missing.
     """
     nodes = durable(nodes.select(node, parent, label))  # read once per level
+    if not nodes.groupBy(node).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+        raise ValueError("a node is listed more than once")
+    children = durable(nodes.groupBy(parent).agg(F.count(F.lit(1)).alias("_children")))
     level = nodes.filter(F.col(parent).isNull()).select(
         node, label, F.lit(0).cast("bigint").alias("depth"), F.col(label).alias("path")
     )
     level = durable(level)
-    found = [level]
-    for depth in range(1, max_depth + 1):
-        up = level.select(F.col(node).alias(parent), F.col("path").alias("_path"))
+    found, depth = [], 0
+    while not level.isEmpty():
+        found.append(level)
+        depth += 1
+        up = level.select(F.col(node).alias(parent), F.col("path").alias("_path")).join(children, parent)
+        below = attach(nodes, up, [parent], "_children", [node])
         level = durable(
-            nodes.join(up, parent).select(
+            below.select(
                 node, label, F.lit(depth).cast("bigint").alias("depth"),
                 F.concat_ws(separator, "_path", label).alias("path"),
             )
         )
-        if level.isEmpty():
-            break
-        found.append(level)
-    else:
-        raise ValueError(f"more than {max_depth} levels: the parents form a cycle")
-    tree = found[0]
+    tree = found[0] if found else level
     for more in found[1:]:
         tree = tree.unionByName(more)
+    lost = nodes.join(tree.select(node), node, "left_anti").count()
+    if lost:
+        raise ValueError(f"no root reaches {lost} nodes: their parents form a cycle or are missing")
     return tree.withColumn(
         "indented", F.concat(F.repeat(F.lit("  "), F.col("depth").cast("int")), F.col(label))
     )

@@ -12,9 +12,9 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, issue: str, record: C
     """Child rows whose ``key`` has no parent, as (issue_type, rows, first_record).
 
     Children are counted per key before the anti join, so a key with very many
-    rows is a few partial counts.
+    rows is a few partial counts.  A child without a key is no orphan.
     """
-    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.min(record).alias("first_record"))
+    per_key = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.min(record).alias("first_record"))
     missing = per_key.join(parent.select(key).distinct(), key, "left_anti")
     return missing.select(F.lit(issue).alias("issue_type"), "rows", "first_record")
 

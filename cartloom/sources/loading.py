@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from enum import Enum
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,17 @@ class LoadError(RuntimeError):
     pass
 
 
+def decoded(path: Column | str) -> Column:
+    """A file's path as its folder lists it; ``_metadata`` gives it percent-encoded."""
+    c = F.col(path) if isinstance(path, str) else path
+    return F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+def local(path: Column | str) -> Column:
+    """The path without the scheme of the local file system, to compare paths."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def with_line_numbers(raw: DataFrame) -> DataFrame:
     """Number the records of each file, the header being line 1.
 
@@ -33,7 +44,7 @@ def with_line_numbers(raw: DataFrame) -> DataFrame:
     """
     numbered = raw.withColumns(
         {
-            "_file": F.col("_metadata.file_path"),
+            "_file": decoded("_metadata.file_path"),
             "_block": F.col("_metadata.file_block_start"),
             "_id": F.monotonically_increasing_id(),
         }
@@ -41,8 +52,7 @@ def with_line_numbers(raw: DataFrame) -> DataFrame:
     blocks = numbered.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    # One row per file block (maxPartitionBytes): small beside the data by construction.
-    placed = numbered.join(F.broadcast(blocks), ["_file", "_block"])
+    placed = numbered.join(blocks, ["_file", "_block"])
     line = F.col("_id") - F.col("_first") + F.col("_before") + 2
     return placed.withColumn("_line", line).drop("_id", "_first", "_before", "_block")
 
@@ -118,7 +128,7 @@ def load(rows: DataFrame, policy: OnError) -> DataFrame:
 
 
 def history(rows: DataFrame, policy: OnError) -> DataFrame:
-    """What a load did, per file."""
+    """What a load did, per file.  An aborted load took in nothing, clean files included."""
     faulty = F.size("_errors") > 0
     first = F.min(F.when(faulty, F.struct("_line", F.element_at("_errors", 1).alias("e"))))
     h = rows.groupBy(F.col("_file").alias("file")).agg(
@@ -134,10 +144,15 @@ def history(rows: DataFrame, policy: OnError) -> DataFrame:
     status = F.when(errors == 0, "LOADED").otherwise(failed)
     if policy is OnError.CONTINUE:
         status = F.when((errors > 0) & (errors == parsed), "LOAD_FAILED").otherwise(status)
+    loaded = F.when(errors == 0, parsed).otherwise(kept)
+    if policy is OnError.ABORT:
+        failing = rows.filter(faulty).limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
+        status = F.when(failing > 0, "LOAD_FAILED").otherwise("LOADED")
+        loaded = F.when(failing > 0, F.lit(0).cast("bigint")).otherwise(parsed)
     return h.select(
         "file",
         "rows_parsed",
-        F.when(errors == 0, parsed).otherwise(kept).alias("rows_loaded"),
+        loaded.alias("rows_loaded"),
         "error_count",
         F.col("_first.e.message").alias("first_error"),
         F.col("_first._line").alias("first_error_line"),
@@ -165,6 +180,6 @@ def new_files(
     found = listing(spark, path, pattern)
     if not force:
         done = loaded.filter(F.col("status").isin("LOADED", "PARTIALLY_LOADED"))
-        done = done.select(F.regexp_replace("file", "^file:/+", "/").alias("_path")).distinct()
-        found = found.withColumn("_path", F.regexp_replace("path", "^file:/+", "/")).join(done, "_path", "left_anti")
+        done = done.select(local("file").alias("_path")).distinct()
+        found = found.withColumn("_path", local("path")).join(done, "_path", "left_anti")
     return sorted(r["path"] for r in found.select("path").collect())

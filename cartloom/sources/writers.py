@@ -9,14 +9,10 @@ from pyspark.sql import functions as F
 
 from cartloom.operators.groups import Order, dense_ids
 
-MAX_SINGLE_FILE_ROWS = 1_000_000
-
 
 def single_csv(df: DataFrame, path: str, order: Sequence[Order], rows: int, sep: str = ",") -> None:
-    """The first ``rows`` rows as one file with a header.  One file is one task, so
-    the number of rows is bounded."""
-    if rows > MAX_SINGLE_FILE_ROWS:
-        raise ValueError("a single file is for bounded exports; use csv_parts")
+    """The first ``rows`` rows as one file with a header.  One file is one task; for
+    large exports use ``csv_parts``."""
     first = df.orderBy(*[o.column() for o in order]).limit(rows)
     first.coalesce(1).write.option("header", True).option("sep", sep).csv(path)
 

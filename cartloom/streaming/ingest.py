@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartloom.sources.loading import listing
+from cartloom.sources.loading import decoded, listing, local
 
 
 def arriving(
@@ -41,14 +41,13 @@ def append_to(stream: DataFrame, target: str, checkpoint: str) -> None:
 
 
 def with_source_file(stream: DataFrame) -> DataFrame:
-    return stream.withColumn("source_file", F.col("_metadata.file_path"))
+    return stream.withColumn("source_file", decoded("_metadata.file_path"))
 
 
 def lag(spark: SparkSession, source: str, ingested: DataFrame, pattern: str | None = None) -> DataFrame:
     """Files and bytes that have arrived, by whether they are loaded; rows loaded."""
-    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
-    loaded = ingested.groupBy(plain("source_file").alias("f")).agg(F.count(F.lit(1)).alias("rows"))
-    files = listing(spark, source, pattern).select(plain("path").alias("f"), "length")
+    loaded = ingested.groupBy(local("source_file").alias("f")).agg(F.count(F.lit(1)).alias("rows"))
+    files = listing(spark, source, pattern).select(local("path").alias("f"), "length")
     state = F.when(F.col("rows").isNull(), "pending").otherwise("loaded")
     return files.join(loaded, "f", "left").groupBy(state.alias("state")).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")

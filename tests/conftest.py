@@ -9,10 +9,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
-    from cartloom.session import build_session
+    from cartloom.session import build_session, release
 
     session = build_session("tests", 8)
     yield session
+    release(session)
     session.stop()
 
 

@@ -132,3 +132,17 @@ def test_stored_stages_are_released(spark):
     assert os.path.exists(stage) and os.path.dirname(scratch(spark, "x")) in stage
     release(spark)
     assert not os.path.exists(stage)
+
+
+def test_null_keys_and_null_days(spark):
+    t = spark.range(40).select(F.col("id"), F.when(F.col("id") % 4 > 0, F.col("id") % 2).alias("k"), F.when(F.col("id") % 4 > 0, F.col("id") % 7).alias("at"))
+    plain = groups.tiles(t, ["k"], [Order("id")], 3, "tile")
+    split = groups.tiles(t, ["k"], [Order("id")], 3, "tile", hot_rows=5)
+    assert rows_of(split) == rows_of(plain) and split.count() == 40
+    for newest in (True, False):
+        order = [Order("at", newest), Order("id")]
+        for k in (1, 5, 25, 35, 39, 50):
+            want = [r["id"] for r in t.orderBy(*[o.column() for o in order]).limit(k).collect()]
+            for hot in (None, 5):
+                got = groups.first_rows(t, order, k, F.col("at"), newest_first=newest, hot_rows=hot)
+                assert [r["id"] for r in got.collect()] == want

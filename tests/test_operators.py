@@ -177,9 +177,12 @@ def test_category_tree(spark):
 
 
 def test_a_cycle_is_reported(spark):
-    loop = spark.createDataFrame([(1, "a", None), (2, "b", 1), (2, "b", 2)], "id int, name string, parent int")
-    with pytest.raises(ValueError, match="cycle"):
-        walk(loop, "id", "parent", "name", max_depth=3)
+    loop = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "c", 4), (4, "d", 3)], "id int, name string, parent int")
+    with pytest.raises(ValueError, match="2 nodes: their parents form a cycle"):
+        walk(loop, "id", "parent", "name")
+    twice = spark.createDataFrame([(1, "a", None), (2, "b", 1), (2, "b", 1)], "id int, name string, parent int")
+    with pytest.raises(ValueError, match="more than once"):
+        walk(twice, "id", "parent", "name")
 
 
 # --- functions ---------------------------------------------------------------------------
