@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,8 +20,12 @@ from cartloom.llm.common import query, table
 
 #: Segments up to this many code points ask the library for all their prefixes.
 SHORT = 32
-#: Segments remembered by one Python worker, code points handled at a time.
-REMEMBERED, SLICE_CHARS, ASKED = 400_000, 1_000_000, 4096
+#: Segments and word beginnings remembered by one Python worker, code points handled at a time.
+REMEMBERED, BEGUN, SLICE_CHARS, ASKED = 400_000, 1_500_000, 1_000_000, 4096
+#: Segments of these characters fall into pre-tokens by character class alone: no white
+#: space, apostrophe, special token or composition is involved, and case has one form.
+SIMPLE = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
+PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 LIMIT = 2048
 
 
@@ -30,6 +35,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _pack(counts: list[int]) -> bytes:
+    return struct.pack(f">{len(counts)}I", *counts)
+
+
 class EndedBpe:
     """Prefix recurrence for one pre-token of a byte-pair vocabulary with word ends.
 
@@ -116,6 +125,8 @@ class PrefixCounter:
         added = sorted((a["content"] for a in spec["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.tables: dict[bytes, bytes] = {}
+        self.begun: dict[str, int] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def ask(self, texts: list[str]) -> list[int]:
         out = []
@@ -162,13 +173,26 @@ class PrefixCounter:
         if len(self.tables) + len(missing) > REMEMBERED:
             self.tables.clear()
             missing = segments
+        if len(self.begun) > BEGUN:
+            self.begun.clear()
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
         words = {s: s.decode("utf-8") for s in missing}
-        short = {s: w for s, w in words.items() if len(w) <= SHORT}
-        starts = sorted({w[:i] for w in short.values() for i in range(1, len(w) + 1)})
-        count = dict(zip(starts, self.ask(starts)))
+        parts = {s: PIECE.findall(w.lower()) if SIMPLE.fullmatch(w) else [w] for s, w in words.items() if len(w) <= SHORT}
+        fresh = {p for found in parts.values() for p in found} - self.pieces.keys()
+        new = list({p[:i] for p in fresh for i in range(1, len(p) + 1)} - self.begun.keys())
+        self.begun.update(zip(new, self.ask(new)))
+        for p in fresh:
+            self.pieces[p] = _pack([self.begun[p[:i]] for i in range(1, len(p) + 1)])
         for s, w in words.items():
-            found = [count[w[:i]] for i in range(1, len(w) + 1)] if s in short else self.long(w)
-            self.tables[s] = np.array(found, dtype=">u4").tobytes()
+            if s not in parts:
+                self.tables[s] = _pack(self.long(w))
+                continue
+            table = self.pieces[parts[s][0]]
+            for p in parts[s][1:]:
+                base = int.from_bytes(table[-4:], "big")
+                table += _pack([base + n for (n,) in struct.iter_unpack(">I", self.pieces[p])])
+            self.tables[s] = table
 
     def prefixes(self, texts: list[str]) -> list[bytes]:
         """Counts at every prefix of every text, the empty one first."""
