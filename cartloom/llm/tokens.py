@@ -1,4 +1,4 @@
-"""Exact token counts at every prefix of a text, by dynamic programming over white-space segments."""
+"""Exact token counts at every prefix of a text, by dynamic programming over its pieces."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +21,17 @@ from cartloom.llm.common import query, table
 
 #: Segments up to this many code points ask the library for all their prefixes.
 SHORT = 32
-#: Segments and word beginnings remembered by one Python worker, code points handled at a time.
+#: Pieces and piece beginnings remembered by one Python worker, code points handled at a time.
 REMEMBERED, BEGUN, SLICE_CHARS, ASKED = 400_000, 1_500_000, 1_000_000, 4096
 #: Segments of these characters fall into pre-tokens by character class alone: no white
 #: space, apostrophe, special token or composition is involved, and case has one form.
-SIMPLE = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
-PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+SIMPLE = "!-&(-;=-~À-ÖØ-öø-ÿ"
+#: The pieces of a text that are counted apart: long and other segments whole, the rest by class.
+PIECE = re.compile(
+    rf"(?<![^ \t-\r])(?:[^ \t-\r]{{{SHORT + 1},}}|[{SIMPLE}]*+[^ \t-\r{SIMPLE}][^ \t-\r]*)"
+    r"|[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:;=-@\[-`{-~]+"
+)
+WORD = re.compile(f"[{SIMPLE}]+")
 LIMIT = 2048
 
 
@@ -36,7 +42,7 @@ def default_tokenizer() -> str:
 
 
 def _pack(counts: list[int]) -> bytes:
-    return struct.pack(f">{len(counts)}I", *counts)
+    return struct.pack(f"<{len(counts)}I", *counts)
 
 
 class EndedBpe:
@@ -103,9 +109,9 @@ class EndedBpe:
 
 
 class PrefixCounter:
-    """Token counts of all prefixes of white-space segments, as big-endian 32-bit numbers.
+    """Token counts of all prefixes of the pieces of a text.
 
-    The tokenizer must drop white space, so that a text's tokens are its segments'
+    The tokenizer must drop white space, so that a text's tokens are its pieces'
     tokens one after the other; this is tried when it is loaded.
     """
 
@@ -123,10 +129,15 @@ class PrefixCounter:
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.bpe = EndedBpe(merges, spec["model"].get("end_of_word_suffix") or "")
         added = sorted((a["content"] for a in spec["added_tokens"]), key=len, reverse=True)
+        if any(WORD.fullmatch(a) for a in added):
+            raise ValueError("this tokenizer has a special token that may lie inside a word")
+        self.symbols = {c: self.lib.pre_tokenizer.pre_tokenize_str(chr(c))[0][0] for c in range(33, 256) if WORD.fullmatch(chr(c))}
+        tried = "ab12,;\u00e9z"
+        if [p for p, _ in self.lib.pre_tokenizer.pre_tokenize_str(tried)] != [p.translate(self.symbols) for p in PIECE.findall(tried)]:
+            raise ValueError("this tokenizer does not part words by letters, digits and other characters")
         self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        self.tables: dict[bytes, bytes] = {}
+        self.tables: dict[str, bytes] = {}
         self.begun: dict[str, int] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def ask(self, texts: list[str]) -> list[int]:
         out = []
@@ -168,47 +179,54 @@ class PrefixCounter:
             pos = m.end()
         return out + [base + f for f in (self._plain(segment[pos:]) if pos < len(segment) else [])]
 
-    def learn(self, segments: set[bytes]) -> None:
-        missing = segments - self.tables.keys()
+    def _word(self, word: str) -> list[int]:
+        """Counts for i from 1 in a piece that is one pre-token, as its prefixes are."""
+        out = []
+        for i in range(1, len(word) + 1):
+            start = word[:i]
+            n = self.begun.get(start)
+            if n is None:
+                n = self.begun[start] = len(self.lib.model.tokenize(start.translate(self.symbols)))
+            out.append(n)
+        return out
+
+    def learn(self, pieces: set[str]) -> None:
+        missing = pieces - self.tables.keys()
         if len(self.tables) + len(missing) > REMEMBERED:
             self.tables.clear()
-            missing = segments
+            missing = pieces
         if len(self.begun) > BEGUN:
             self.begun.clear()
-        if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
-        words = {s: s.decode("utf-8") for s in missing}
-        parts = {s: PIECE.findall(w.lower()) if SIMPLE.fullmatch(w) else [w] for s, w in words.items() if len(w) <= SHORT}
-        fresh = {p for found in parts.values() for p in found} - self.pieces.keys()
-        new = list({p[:i] for p in fresh for i in range(1, len(p) + 1)} - self.begun.keys())
+        odd = {p for p in missing if len(p) <= SHORT and not WORD.fullmatch(p)}
+        new = list({p[:i] for p in odd for i in range(1, len(p) + 1)} - self.begun.keys())
         self.begun.update(zip(new, self.ask(new)))
-        for p in fresh:
-            self.pieces[p] = _pack([self.begun[p[:i]] for i in range(1, len(p) + 1)])
-        for s, w in words.items():
-            if s not in parts:
-                self.tables[s] = _pack(self.long(w))
-                continue
-            table = self.pieces[parts[s][0]]
-            for p in parts[s][1:]:
-                base = int.from_bytes(table[-4:], "big")
-                table += _pack([base + n for (n,) in struct.iter_unpack(">I", self.pieces[p])])
-            self.tables[s] = table
+        for p in missing:
+            if len(p) > SHORT:
+                self.tables[p] = _pack(self.long(p))
+            elif p in odd:
+                self.tables[p] = _pack([self.begun[p[:i]] for i in range(1, len(p) + 1)])
+            else:
+                self.tables[p] = _pack(self._word(p.lower()))
 
     def prefixes(self, texts: list[str]) -> list[bytes]:
         """Counts at every prefix of every text, the empty one first."""
-        split = [t.encode("utf-8").split() for t in texts]
-        self.learn({s for segments in split for s in segments})
+        split = [PIECE.findall(t) for t in texts]
+        self.learn(set(chain.from_iterable(split)))
         out = []
-        for text, segments in zip(texts, split):
-            chars = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
-            solid = ~((chars == 32) | ((chars >= 9) & (chars <= 13)))
-            inner = np.frombuffer(b"".join([self.tables[s] for s in segments]), dtype=">u4")
-            closes = solid & ~np.append(solid[1:], False)
-            added = np.zeros(len(chars), dtype=np.int64)
-            added[solid] = inner
-            total = np.cumsum(np.where(closes, added, 0))
-            counts = np.where(solid & ~closes, total + added, total)
-            out.append(np.concatenate([[0], counts]).astype(">u4").tobytes())
+        for text, pieces in zip(texts, split):
+            ascii_only = text.isascii()
+            chars = np.frombuffer(text.encode("ascii" if ascii_only else "utf-32-le"), dtype="u1" if ascii_only else "<u4")
+            solid = (chars != 32) & ((chars < 9) | (chars > 13))
+            inner = np.frombuffer(b"".join([self.tables[p] for p in pieces]), dtype="<u4")
+            sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+            ends = np.cumsum(sizes)
+            closed = np.cumsum(inner[ends - 1], dtype=np.uint32)
+            # a piece begins at the count its predecessor closed with; white space keeps the count before it
+            counts = np.zeros(len(inner) + 1, dtype=np.uint32)
+            counts[1:] = inner + np.repeat(closed - inner[ends - 1], sizes)
+            seen = np.zeros(len(chars) + 1, dtype=np.int64)
+            np.cumsum(solid, out=seen[1:])
+            out.append(counts[seen].astype(">u4").tobytes())
         return out
 
 
@@ -233,8 +251,8 @@ def prefix_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", to
 
     ``prefix`` holds one big-endian 32-bit count per code point boundary, from the empty
     prefix to the whole text, as the library counts the prefix for itself. The answer at
-    a prefix is the count at its last white space plus that of the segment begun, which
-    comes from a table per distinct segment. ``tokens_at`` and ``longest_within`` answer
+    a prefix is the count at the end of its last whole piece plus that of the piece begun,
+    which comes from a table per distinct piece. ``tokens_at`` and ``longest_within`` answer
     from it without encoding anything again.
 
     NULL and empty texts have the one count 0; rows are independent of each other, so
