@@ -21,15 +21,14 @@ DEVICES = ["desktop", "mobile", "tablet"]
 # Scans of fewer splits than this (2 GB at the default split size) are short.
 SHORT_SCAN = 16
 
-# Schema and number of scan tasks of the tables read so far: finding out costs a job.
-_schemas: dict[str, T.StructType] = {}
-_splits: dict[str, int] = {}
-
 
 class Model:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = tune(spark)
         self.path = path.rstrip("/")
+        # Schema and number of scan tasks, found out once a query: it costs a job.
+        self._schemas: dict[str, T.StructType] = {}
+        self._splits: dict[str, int] = {}
 
     def table(self, name: str, deal_by: str | None = None) -> DataFrame:
         """A stored table.
@@ -41,15 +40,15 @@ class Model:
         than the short scan itself would; larger tables are left alone.
         """
         path = f"{self.path}/{name}.parquet"
-        if path not in _schemas:
-            _schemas[path] = self.spark.read.parquet(path).schema
-        df = self.spark.read.schema(_schemas[path]).parquet(path)
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        df = self.spark.read.schema(self._schemas[path]).parquet(path)
         if deal_by is None:
             return df
         cores = self.spark.sparkContext.defaultParallelism
-        if path not in _splits:
-            _splits[path] = df.rdd.getNumPartitions()
-        return df if _splits[path] >= SHORT_SCAN else df.repartition(min(cores, SHORT_SCAN), deal_by)
+        if path not in self._splits:
+            self._splits[path] = df.rdd.getNumPartitions()
+        return df if self._splits[path] >= SHORT_SCAN else df.repartition(min(cores, SHORT_SCAN), deal_by)
 
     def geography(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")

@@ -14,7 +14,8 @@ DELETE, INSERT = "DELETE", "INSERT"
 
 
 def _row_id(keys: Sequence[str]) -> Column:
-    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    """A digest of the named key values, so that NULLs and neighbours are not mixed up."""
+    return F.md5(F.to_json(F.struct(*keys)))
 
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Bytes of input that one file of a rewrite takes.
+FILE_BYTES = 128 << 20
+
 
 def folder() -> Column:
     """The folder of a row's file, for layouts judged by folder."""
@@ -75,34 +78,29 @@ def pruning_report(df: DataFrame, column: str, low, high, unit: Column | None =
     )
 
 
-def cluster_rewrite(df: DataFrame, path: str, keys: Sequence[str], files: int) -> DataFrame:
-    """Rewrite sorted by ``keys``.
+def files_for(df: DataFrame, least: int = 1) -> int:
+    """Files of about ``FILE_BYTES`` for the sizes that the planner knows of the tables read."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(least, -(-size // FILE_BYTES))
+
+
+def cluster_rewrite(df: DataFrame, path: str, keys: Sequence[str], least: int = 1, bloom: str | None = None) -> DataFrame:
+    """Rewrite sorted by ``keys`` into at least ``least`` files, more for more bytes.
 
     The range cut follows all keys, so a value that fills a large part of the table
-    is cut by the later keys; end the list with a column that varies.
+    is cut by the later keys; end the list with a column that varies.  With ``bloom``
+    the row groups also carry a Bloom filter for that column.
     """
-    df.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.parquet(path)
+    cut = df.repartitionByRange(files_for(df, least), *keys).sortWithinPartitions(*keys)
+    if bloom is None:
+        cut.write.parquet(path)
+    else:
+        write_with_bloom(cut, path, bloom, df.agg(F.approx_count_distinct(bloom)).first()[0])
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def value_index(df: DataFrame, column: str, path: str) -> DataFrame:
-    """Which files hold which value: distinct pairs, sorted so that a lookup reads
-    few row groups of the index."""
-    pairs = df.select(F.col(column).alias("value"), F.col("_metadata.file_path").alias("file")).distinct()
-    pairs.orderBy("value").write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def lookup(spark: SparkSession, index: DataFrame, schema, column: str, test: Column, full_test: Column) -> DataFrame:
-    """Rows that satisfy ``full_test``, reading only the files the index names for
-    ``test`` (over ``value``): equality, IN and substring alike."""
-    files = [r["file"] for r in index.filter(test).select("file").distinct().collect()]
-    if not files:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*files).filter(full_test)
-
-
 def write_with_bloom(df: DataFrame, path: str, column: str, distinct_values: int) -> None:
     """Files whose row groups carry a Bloom filter for ``column``."""
     w = df.write.option(f"parquet.bloom.filter.enabled#{column}", "true")
-    w.option(f"parquet.bloom.filter.expected.ndv#{column}", str(distinct_values)).parquet(path)
+    w.option(f"parquet.bloom.filter.expected.ndv#{column}", str(max(1, distinct_values))).parquet(path)

@@ -141,7 +141,7 @@ RUSH = "order_status = 'shipped' AND shipping_method = '1-URGENT'"
 DELIVERED = "order_id, customer_id, 'delivered' AS order_status, order_total, created_at, shipping_method"
 V2 = f"""(SELECT {COLS} FROM ord WHERE NOT ({LOW}) AND NOT ({RUSH}) UNION ALL SELECT {DELIVERED} FROM ord WHERE {RUSH}
   UNION ALL {copies_sql('placed', '2-HIGH')})"""
-ROW_ID = "md5(CAST(order_id AS VARCHAR)) AS row_id"
+ROW_ID = """md5('{"order_id":' || order_id || '}') AS row_id"""
 
 
 @query("change_feed", f"""SELECT {COLS}, 'DELETE' AS action, FALSE AS is_update, {ROW_ID} FROM ord WHERE {LOW}
@@ -166,21 +166,32 @@ def apply_changes(m):
 # --- rejected rows ---------------------------------------------------------------
 
 
+# The order states there are.
+KNOWN_STATUS = ["pending", "shipped", "delivered", "cancelled", "placed", "confirmed", "returned"]
+
+
+def misspelt():
+    """The status with a state that does not exist for placed orders of low priority."""
+    wrong = (F.col("order_status") == "placed") & (F.col("shipping_method") == "5-LOW")
+    return F.when(wrong, "plced").otherwise(F.col("order_status"))
+
+
 def order_rules():
     """Checks of an order row, first failure first."""
-    known = ["pending", "shipped", "delivered", "cancelled", "confirmed", "returned"]
     return [
         (F.col("customer_id").isNull(), "missing customer_id"),
-        (~F.col("order_status").isin(known), "unrecognized order_status"),
+        (~F.col("order_status").isin(KNOWN_STATUS), "unrecognized order_status"),
     ]
 
 
 @query("dead_letter", """SELECT order_id, customer_id, order_status, created_at, CASE WHEN customer_id IS NULL THEN
   'missing customer_id' ELSE 'unrecognized order_status' END AS reason FROM (SELECT order_id, CASE WHEN order_total >= 1000
-  THEN customer_id END AS customer_id, order_status, created_at FROM ord) WHERE customer_id IS NULL OR order_status = 'placed'""")
+  THEN customer_id END AS customer_id, CASE WHEN order_status = 'placed' AND shipping_method = '5-LOW' THEN 'plced' ELSE
+  order_status END AS order_status, created_at FROM ord) WHERE customer_id IS NULL OR order_status = 'plced'""")
 def dead_letter(m):
-    """Orders too small to be real carry no customer; 'placed' is not accepted yet."""
-    o = m.orders().withColumn("customer_id", F.when(F.col("order_total") >= 1000, F.col("customer_id")))
+    """Orders too small to be real carry no customer; some carry a status that does not exist."""
+    o = m.orders().withColumn("order_status", misspelt())
+    o = o.withColumn("customer_id", F.when(F.col("order_total") >= 1000, F.col("customer_id")))
     _, rejected = quality.route(o, order_rules())
     return rejected.select("order_id", "customer_id", "order_status", "created_at", "reason")
 

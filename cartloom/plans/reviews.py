@@ -15,14 +15,15 @@ from cartloom.plans import oracle as q
 from cartloom.plans.registry import query
 from cartloom.session import durable
 
-POSITIVE = [*text.POSITIVE, "with", "für", "pour"]
-NEGATIVE = [*text.NEGATIVE, "worthless", "pathetic", "that", "und", "que"]
+POSITIVE = text.POSITIVE
+NEGATIVE = [*text.NEGATIVE, "worthless", "pathetic"]
 LABELS = {
-    "product_quality": ["broken", "worthless", "quality", "this"],
-    "shipping_delivery": ["shipping", "delivery", "from", "von", "les"],
-    "customer_service": ["service", "call", "email", "are"],
-    "value_for_money": ["price", "value", "license", "den"],
+    "product_quality": ["broken", "worthless", "quality"],
+    "shipping_delivery": ["shipping", "delivery"],
+    "customer_service": ["service", "call", "email"],
+    "value_for_money": ["price", "value"],
 }
+RIGHTS = ["license", "copyright"]
 OTHERWISE = "general_positive"
 STOP = ["the", "and", "of", "der", "die", "das", "que", "des", "les", "los", "und", "was", "for", "that", "with"]
 
@@ -88,12 +89,12 @@ def classify_text(m):
 
 
 @query("filter_text", f"""SELECT review_id, rating FROM {TOKENS} WHERE rating <= 2
-  AND list_has_any(tokens, {sql_list(LABELS['shipping_delivery'])})""")
+  AND list_has_any(tokens, {sql_list(RIGHTS)})""")
 def filter_text(m):
     """The rating filter is applied before any text is split."""
     r = m.reviews().filter(F.col("rating") <= 2)
     tokens = text.words(F.col("review_text"))
-    return r.filter(text.mentions(tokens, LABELS["shipping_delivery"])).select("review_id", "rating")
+    return r.filter(text.mentions(tokens, RIGHTS)).select("review_id", "rating")
 
 
 @query("top_terms_per_group", f"""WITH t AS (SELECT DISTINCT category, review_id, unnest(tokens) AS term FROM {TOKENS}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cartloom.functions.scalar import rows
 from cartloom.operators import changes
 from cartloom.operators.groups import Order
-from cartloom.plans.changes import COLS, KEY, V2, order_rules, version_two
+from cartloom.plans.changes import COLS, KEY, V2, misspelt, order_rules, version_two
 from cartloom.plans.registry import query
 from cartloom.session import durable, scratch
 from cartloom.streaming import alerts, cdc, ingest
@@ -82,11 +82,12 @@ def live_aggregate(m):
     return ingest.current(m.spark, target)
 
 
-@query("stream_dead_letter", """SELECT order_id, order_status, 'unrecognized order_status' AS reason FROM ord
-  WHERE order_status = 'placed' UNION ALL SELECT order_id, order_status, NULL FROM ord WHERE order_status <> 'placed'""")
+@query("stream_dead_letter", """SELECT order_id, CASE WHEN order_status = 'placed' AND shipping_method = '5-LOW' THEN 'plced'
+  ELSE order_status END AS order_status, CASE WHEN order_status = 'placed' AND shipping_method = '5-LOW' THEN
+  'unrecognized order_status' END AS reason FROM ord""")
 def stream_dead_letter(m):
     inbox, valid, rejected, mark = paths(m, "inbox", "valid", "rejected", "mark")
-    m.orders().write.parquet(inbox)
+    m.orders().withColumn("order_status", misspelt()).write.parquet(inbox)
     cdc.split_stream(ingest.arriving(m.spark, inbox, m.orders().schema), order_rules(), valid, rejected, mark)
     good = m.spark.read.parquet(valid).select("order_id", "order_status", F.lit(None).cast("string").alias("reason"))
     return good.unionByName(m.spark.read.parquet(rejected).select("order_id", "order_status", "reason"))

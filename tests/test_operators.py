@@ -323,10 +323,22 @@ def test_rewrite_prunes(spark, tmp_path):
     assert layout.clustering_report(after, "x").first()["avg_overlaps"] == 0.0
 
 
-def test_lookup_reads_named_files_only(spark, tmp_path):
+def test_rewrite_with_bloom_keeps_rows(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") % 50).alias("x"), "id")
-    t = layout.cluster_rewrite(df, f"{tmp_path}/t", ["id"], 8)
-    index = layout.value_index(t, "id", f"{tmp_path}/i")
-    got = layout.lookup(spark, index, t.schema, "id", F.col("value") == 17, F.col("id") == 17)
-    assert rows_of(got, "id") == [(17,)] and len(got.inputFiles()) == 1
-    assert layout.lookup(spark, index, t.schema, "id", F.col("value") == -1, F.col("id") == -1).isEmpty()
+    t = layout.cluster_rewrite(df, f"{tmp_path}/t", ["id"], 8, bloom="id")
+    assert rows_of(t) == rows_of(df) and len(t.inputFiles()) == 8
+    assert rows_of(t.filter(F.col("id") == 17), "id") == [(17,)]
+    assert t.filter(F.col("id") == -1).isEmpty()
+
+
+def test_file_count_follows_bytes(spark):
+    small, large = spark.range(1000), spark.range(100_000_000)
+    assert layout.files_for(small, 3) == 3
+    assert layout.files_for(large) == -(-800_000_000 // layout.FILE_BYTES)
+
+
+def test_row_ids_tell_keys_apart(spark):
+    ddl = "a string, b string, v int"
+    new = spark.createDataFrame([("x|y", "z", 1), ("x", "y|z", 2), ("x", None, 3), (None, "x", 4)], ddl)
+    added = changes.appended(new.limit(0), new, ["a", "b"])
+    assert added.select("row_id").distinct().count() == 4
