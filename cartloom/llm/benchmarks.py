@@ -28,8 +28,9 @@ def _padded(words: Column, blank: str) -> Column:
 def fingerprints(rows: DataFrame, keys: list[str], blank: str) -> DataFrame:
     """Winnowed fingerprints of ``words``: ``keys, print, at, context``.
 
-    Of every KEPT_OF neighbouring hashes of GRAM words the smallest is kept. The low
-    three bits of a hash carry its position, so equal hashes have one order and a kept
+    Of every KEPT_OF neighbouring hashes of GRAM words the smallest is kept, the last of
+    equal ones. The low three bits of a hash carry its distance from the window's end, so
+    the choice depends on the window's words alone, wherever it stands, and a kept
     position follows from its value. ``context`` are the words of all windows that hold
     the gram at position ``at``; beyond the text they are ``blank``.
     """
@@ -37,14 +38,16 @@ def fingerprints(rows: DataFrame, keys: list[str], blank: str) -> DataFrame:
     side = WINDOW - 1
     n = F.size("p") - 2 * side
     gram = lambda i: F.xxhash64(*[F.get("p", i + side + k) for k in range(GRAM)])
-    marked = lambda i: gram(i).bitwiseAND(F.lit(~7)).bitwiseOR(i.bitwiseAND(F.lit(7)).cast("long"))
-    hashed = padded.select(*keys, "p", F.when(n >= WINDOW, F.transform(F.sequence(F.lit(0), n - GRAM), marked)).alias("h"))
-    lows = F.when(F.col("h").isNotNull(), F.transform(F.sequence(F.lit(0), F.size("h") - KEPT_OF), lambda i: F.least(*[F.get("h", i + k) for k in range(KEPT_OF)])))
+    cleared = lambda i: gram(i).bitwiseAND(F.lit(~7))
+    hashed = padded.select(*keys, "p", F.when(n >= WINDOW, F.transform(F.sequence(F.lit(0), n - GRAM), cleared)).alias("h"))
+    marked = lambda i: [F.get("h", i + k).bitwiseOR(F.lit(KEPT_OF - 1 - k).cast("long")) for k in range(KEPT_OF)]
+    lows = F.when(F.col("h").isNotNull(), F.transform(F.sequence(F.lit(0), F.size("h") - KEPT_OF), lambda i: F.least(*marked(i))))
     low = hashed.select(*keys, "p", lows.alias("m"))
     # the outer form, because for the plain one the planner infers a filter that repeats all work above
     each = low.select(*keys, "p", "m", F.posexplode_outer("m").alias("i", "low")).where("i IS NOT NULL")
-    first = each.where((F.col("i") == 0) | (F.col("low") != F.get("m", F.col("i") - 1)))
-    at = F.col("i") + F.pmod(F.col("low").bitwiseAND(F.lit(7)) - F.col("i"), F.lit(8)).cast("int")
+    # a gram kept by the window before as well is one further from the end there
+    first = each.where((F.col("i") == 0) | (F.col("low") != F.get("m", F.col("i") - 1) + 1))
+    at = F.col("i") + (KEPT_OF - 1) - F.col("low").bitwiseAND(F.lit(7)).cast("int")
     reach = WINDOW - GRAM
     context = F.slice("p", at + side - reach + 1, GRAM + 2 * reach)
     return first.select(*keys, F.shiftright("low", 3).alias("print"), at.alias("at"), context.alias("context"))

@@ -55,3 +55,16 @@ def test_planted_spans(spark):
     assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=repr) == sorted((d for d in docs if d not in bad), key=repr)
     assert benchmarks.contamination(df, bench.where("false")).count() == 0
     assert benchmarks.contamination(df.where("false"), bench).count() == 0
+
+
+def test_repeated_words_at_any_offset(spark):
+    rng = random.Random(11)
+    say = lambda n: " ".join(f"r{rng.randint(0, 500)}" for _ in range(n))
+    spans = ["0 " * 10, "0 1 " * 5, "0 1 " * 9, "ha ha ho " * 4, "1 2 3 4 5 " * 2, "0 0 0 0 0 0 0 0 0 1"]
+    items = [(k, f"{say(k)} {span} {say(3 * k)}") for k, span in enumerate(spans)] + [(9, "0 " * 10)]
+    docs = [(k, f"{say(rng.randint(0, 20))} {rng.choice(spans)} {say(rng.randint(0, 20))}") for k in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in benchmarks.contamination(df, bench).collect()}
+    assert got == {d: v for (d, _), v in plain(docs, items).items()}
+    assert len(got) == len(docs)
