@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import attach, durable, query, table
+from cartloom.llm.common import attach, durable, lower_ascii, query, table
 from cartloom.llm.graph import components
 
 RULES = [
@@ -19,6 +21,9 @@ RULES = [
 PARTS = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["'][^"'>]*?url\s*=\s*([^"'\s>]+)"""
+BASE = r"""(?is)<base\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
+#: Scheme, user and host of a url.
+SITE = r"(?s)\A([A-Za-z][A-Za-z0-9+.\-]*://)([^/?#]*@)?([^/?#]*)"
 
 
 def host_of(url: Column) -> Column:
@@ -32,20 +37,71 @@ def path_of(url: Column) -> Column:
 
 
 def resource(url: Column) -> Column:
-    """The url without its fragment, which no server sees."""
-    return F.substring_index(url, "#", 1)
+    """The url without its fragment, which no server sees, A-Z of scheme and host lower-cased."""
+    bare = F.substring_index(url, "#", 1)
+    part = lambda k: F.regexp_extract(bare, SITE, k)
+    rest = F.substring(bare, F.length(part(0)) + 1, F.length(bare))
+    return F.concat(lower_ascii(part(1)), part(2), lower_ascii(part(3)), rest)
+
+
+def _bound(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with the value computed once, however often ``fn`` names it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _without_dots(path: Column) -> Column:
+    """A path from the root without its ``.`` and ``..`` segments."""
+    shorter = lambda kept: F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+    step = lambda kept, s: F.when(s == "..", shorter(kept)).when(s == ".", kept).otherwise(F.concat(kept, F.array(s)))
+    segments = F.split(path, "/")
+    kept = F.aggregate(F.slice(segments, 2, F.size(segments)), F.array().cast("array<string>"), step)
+    ended = path.rlike(r"/\.\.?\z")
+    return _bound(kept, lambda k: F.concat(F.lit("/"), F.array_join(k, "/"), F.when(ended & (F.size(k) > 0), "/").otherwise("")))
+
+
+def resolve(target: Column, base: Column) -> Column:
+    """``target`` as a url seen from ``base``; NULL where that names no host.
+
+    A target with a scheme stays as written. Others take the scheme of the base
+    (``//``), its scheme and host (``/``), its path as well (``?`` and ``#``), or the
+    folder of its path, and lose dot segments.
+    """
+    bare = F.substring_index(base, "#", 1)
+    site = F.regexp_extract(bare, SITE, 0)
+    path = F.regexp_extract(F.substring(bare, F.length(site) + 1, F.length(bare)), r"\A[^?]*", 0)
+    tail = lambda full: F.regexp_extract(full, r"(?s)\A[^?#]*(.*)", 1)
+    inside = lambda full: F.concat(_bound(F.regexp_extract(full, r"\A[^?#]*", 0), _without_dots), tail(full))
+
+    def below(known: Column) -> Column:
+        site, path, to = known["site"], known["path"], known["to"]
+        folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"(?s)\A(.*/)", 1))
+        return (
+            F.when(to.rlike(r"\A[A-Za-z][A-Za-z0-9+.\-]*:"), F.when(F.contains(to, F.lit("://")), to))
+            .when(site == "", None)
+            .when(to.startswith("//"), F.concat(F.substring_index(site, "//", 1), to))
+            .when(to.startswith("?"), F.concat(site, path, to))
+            .when(to.startswith("#"), F.concat(site, path, known["query"]))
+            .otherwise(F.concat(site, _bound(F.when(to.startswith("/"), to).otherwise(F.concat(folder, to)), inside)))
+        )
+
+    query = F.regexp_extract(bare, r"(?s)\A[^?]*(.*)", 1)
+    return _bound(F.named_struct(F.lit("site"), site, F.lit("path"), path, F.lit("query"), query, F.lit("to"), target), below)
 
 
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Columns ``a, b``: a page's resource and the target of its canonical or refresh link.
 
-    References without ``://`` are not edges; character references for & are decoded.
+    References are resolved against the page's base element, else its url; those that
+    name no host are not edges. Character references for & are decoded.
     """
     found = F.concat(F.regexp_extract_all(html, F.lit(CANONICAL), 1), F.regexp_extract_all(html, F.lit(REFRESH), 1))
     linked = F.col(html).rlike(r"(?i)canonical|http-equiv") & F.col(url).isNotNull()
-    targets = pages.where(linked).select(F.col(url).alias("_from"), F.explode(found).alias("_to"))
-    to = F.replace("_to", F.lit("&amp;"), F.lit("&"))
-    return targets.where(to.contains("://")).select(resource(F.col("_from")).alias("a"), resource(to).alias("b"))
+    decoded = lambda text: F.replace(text, F.lit("&amp;"), F.lit("&"))
+    own = decoded(F.regexp_extract(html, BASE, 1))
+    base = _bound(own, lambda b: F.coalesce(F.when(b != "", resolve(b, F.col(url))), F.col(url)))
+    targets = pages.where(linked).select(F.col(url).alias("_from"), base.alias("_base"), F.explode(found).alias("_to"))
+    to = _bound(resolve(decoded(F.col("_to")), F.col("_base")), resource)
+    return targets.select(resource(F.col("_from")).alias("a"), to.alias("b")).where("b IS NOT NULL")
 
 
 def _decide(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -78,7 +134,7 @@ def judge(pages: DataFrame, rules: DataFrame, edges: DataFrame, page_id: str = "
 
     ``rules`` has ``host, path, action`` (allow or block): a rule fits its host and all
     subdomains where the path starts with its path, and the longest wins. ``edges``
-    (``a, b``: urls without fragment) joins urls into aliases. A url without a rule is
+    (``a, b``: urls as ``resource`` gives them) joins urls into aliases. A url without a rule is
     blocked where any alias is blocked by a rule, even one that was never fetched, and
     else allowed; its own allow rule precedes a block that an alias would hand down.
     A NULL url has an empty host and path, no aliases, and is allowed without a rule;

@@ -21,3 +21,31 @@ def test_rules_and_links(spark):
         (12, "ok.com", "/p", "com/", "allow"), (13, "example.com", "/en", "com/", "allow"),
     ])
     assert urls.judge(pages.where("false"), urls.rule_table(spark), urls.link_edges(pages.where("false"))).count() == 0
+
+
+def test_relative_links_and_letter_case(spark):
+    link = '<link rel="canonical" href="{}">'
+    rows = [
+        (1, "http://free.org/promo", link.format("/fr/1")), (2, "http://a.net/promo", link.format("/fr/promo")), (3, "http://a.net/x/y", link.format("../fr/./2?q=1")),
+        (4, "https://b.org/p", link.format("//x.net/fr/bad")), (5, "http://c.net/es", '<meta http-equiv="refresh" content="0;url=es/x">'),
+        (6, "HTTP://A.Example.ORG/x", link.format("http://x.net/es/1")), (7, "http://a.example.org/x", ""), (8, "http://a.example.org/X", ""),
+        (9, "http://d.org/k/l", '<base href="http://x.net/fr/">' + link.format("1")), (10, "http://e.net/fr", link.format("?p=/fr/")), (11, "http://f.org/y", link.format("#top")),
+        (12, "no scheme", link.format("/fr/x")), (13, "http://g.net/q", link.format("/es/..")), (14, "http://h.net/q", link.format("/r?to=http://x.net/fr/1")),
+        (15, "http://i.net", link.format("fr/3")), (16, "http://j.net/es?x=/fr/", link.format("mailto:a@b.c")), (17, "http://k.org/a", link.format("HTTP://X.NET/es/1")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    edges = {(r.a, r.b) for r in urls.link_edges(pages).collect()}
+    assert edges == {
+        ("http://free.org/promo", "http://free.org/fr/1"), ("http://a.net/promo", "http://a.net/fr/promo"), ("http://a.net/x/y", "http://a.net/fr/2?q=1"),
+        ("https://b.org/p", "https://x.net/fr/bad"), ("http://c.net/es", "http://c.net/es/x"), ("http://a.example.org/x", "http://x.net/es/1"),
+        ("http://d.org/k/l", "http://x.net/fr/1"), ("http://e.net/fr", "http://e.net/fr?p=/fr/"), ("http://f.org/y", "http://f.org/y"),
+        ("http://g.net/q", "http://g.net/"), ("http://h.net/q", "http://h.net/r?to=http://x.net/fr/1"), ("http://i.net", "http://i.net/fr/3"), ("http://k.org/a", "http://x.net/es/1"),
+    }
+
+
+def test_relative_links_hand_on_blocks(spark):
+    link = '<link rel="canonical" href="{}">'
+    rows = [(1, "http://free.org/a", link.format("//x.net/fr/bad")), (2, "http://a.net/promo", link.format("/fr/promo")), (3, "HTTP://Free.org/a", ""), (4, "http://free.org/A", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = urls.judge(pages, urls.rule_table(spark), urls.link_edges(pages))
+    assert sorted((r.page_id, r.verdict) for r in out.collect()) == [(1, "block"), (2, "block"), (3, "block"), (4, "allow")]
