@@ -37,7 +37,7 @@ CLOSES = {
     "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"}),
 }
 
-#: Elements, and words of class, id and role, that never hold the article.
+#: Elements and roles that never hold the article, and words that do not in a class or id, unless most of the evidence is below.
 NEVER_TAGS = {"nav", "aside", "footer", "menu", "dialog", "select", "button", "head", "svg", "search"}
 NEVER_WORDS = set(
     "nav navbar navigation menu sidebar footer comment comments reply replies disqus cookie cookies consent gdpr ad ads advert adverts"
@@ -50,34 +50,50 @@ ARTICLE_TAGS = {"article", "main"}
 ARTICLE_WORDS = set("article story post entry content main text body".split())
 
 # Costs in hundredths: what labelling a block against its evidence costs, and neighbours apart.
-NEVER, SELDOM, SELDOM_OUTSIDE, ARTICLE, ARTICLE_WORD = -1000, -700, -300, 600, 250
+NEVER, SELDOM, SELDOM_OUTSIDE, ARTICLE, ARTICLE_WORD, VETO = -1000, -700, -300, 600, 250, 600
 SHORT_LINE, SENTENCE, LONG, MOSTLY_LINKS, SOME_LINKS, RIGHTS = -200, 200, 150, -400, -200, -400
 NEXT_SAME, NEXT_OTHER, SIBLING = 100, 40, 60
 
 RIGHTS_LINE = re.compile(r"\s*(?:©|\(c\)|copyright\b|all rights reserved)", re.I)
-ENDS = tuple('.!?…:;"”»)。！？')
+ENDS = tuple('.!?…:;"”»)。！？．」』”។။།')
+#: Scripts without spaces between words, by the usual letters a word; the last have no full stop either.
+UNSPACED = {
+    2: re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]+"),
+    4: re.compile("[\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff]+"),
+}
+NO_STOP = re.compile("[\u0e00-\u0eff]\\Z")
+#: Words of a sentence that counts as prose; the second where a page has no such sentence.
+SENTENCE_WORDS = (8, 5)
 
 
 class Element:
-    __slots__ = ("article", "key", "never", "seldom", "tag", "word")
+    __slots__ = ("article", "key", "never", "seldom", "tag", "vetoes", "word")
 
     def __init__(self, key: int, tag: str, attributes: str, parent: Element | None):
         words: set[str] = set()
+        certain: set[str] = set()
         if attributes and tag not in ("html", "body"):
             for name, *value in ATTRIBUTE.findall(attributes):
                 value, name = "".join(value), name.lower()
                 if name in ("class", "id", "role"):
-                    words.update(WORD.findall(CAMEL.sub(" ", value).lower()))
+                    found = WORD.findall(CAMEL.sub(" ", value).lower())
+                    words.update(found)
+                    if name == "role":
+                        certain.update(found)
                 elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) or name == "aria-hidden" and value == "true":
-                    words.add("dialog")
+                    certain.add("dialog")
             if re.search(r"(?:^|\s)hidden(?:\s|/|$)", attributes):
-                words.add("dialog")
+                certain.add("dialog")
         self.key, self.tag = key, tag
-        never = tag in NEVER_TAGS or not words.isdisjoint(NEVER_WORDS)
+        hard = tag in NEVER_TAGS or not certain.isdisjoint(NEVER_WORDS)
+        veto = not words.isdisjoint(NEVER_WORDS)
+        never = hard or veto
         seldom = tag in ("header", "form", "fieldset") or not words.isdisjoint(SELDOM_WORDS)
         article = tag in ARTICLE_TAGS and not never and not seldom or "articleBody" in attributes
         # how deep the evidence is: an article inside weakens what stands outside
-        self.never = never or bool(parent and parent.never)
+        self.never = hard or bool(parent and parent.never)
+        outside = parent.vetoes if parent else ()
+        self.vetoes = (*outside, key) if veto and not hard else outside
         inside = bool(parent and parent.article)
         self.article = article or inside
         if tag == "header" and inside:
@@ -159,16 +175,24 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def evidence(block: Block) -> int:
-    """Cost of calling the block boilerplate; below zero, of calling it content."""
+def words_in(text: str) -> int:
+    """Words by spaces, and by code points where the script has no spaces."""
+    words = text.count(" ") + 1
+    if not text.isascii():
+        words += sum(sum(map(len, letters.findall(text))) // size for size, letters in UNSPACED.items())
+    return words
+
+
+def evidence(block: Block, sentence: int = SENTENCE_WORDS[0]) -> int:
+    """Cost of calling the block boilerplate; below zero, of calling it content. Vetoes by class are left out."""
     e, text = block.element, block.text
     if e.never:
         return NEVER
     solid = sum(map(len, text.split())) or 1
-    words = text.count(" ") + 1
+    words = words_in(text)
     score = e.seldom + (ARTICLE if e.article else 0) + (ARTICLE_WORD if e.word else 0)
     ended = text.endswith(ENDS)
-    if words >= 8 and ended:
+    if words >= sentence and (ended or NO_STOP.search(text)):
         score += SENTENCE
     elif words < 5 and not ended:
         score += SHORT_LINE
@@ -181,6 +205,24 @@ def evidence(block: Block) -> int:
     return score
 
 
+def costs(blocks: list[Block], sentence: int = SENTENCE_WORDS[0]) -> list[int]:
+    """Evidence of all blocks, and NEVER below a class or id that vetoes.
+
+    A layout names itself by such words as well ('no-sidebar' around a page). The
+    vetoes above some blocks fall where these blocks hold more evidence for content
+    than a veto costs, and over twice that of all blocks without one.
+    """
+    score = [evidence(b, sentence) for b in blocks]
+    held: dict[tuple[int, ...], int] = {}
+    for b, s in zip(blocks, score):
+        if s > 0:
+            held[b.element.vetoes] = held.get(b.element.vetoes, 0) + s
+    free = held.pop((), 0)
+    first = max(held, key=held.get, default=())
+    lifted = set(first) if first and held[first] > max(VETO, 2 * free) else set()
+    return [s if lifted.issuperset(b.element.vetoes) else NEVER for b, s in zip(blocks, score)]
+
+
 def neighbours(blocks: list[Block]) -> list[tuple[int, int, int]]:
     """Adjacent blocks, and the nearest blocks below the same parent element."""
     edges, last = [], {}
@@ -258,7 +300,10 @@ def min_cut(score: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
 def main_text(page: str | None) -> str:
     """Content blocks of a page, one per line; empty for an empty page."""
     blocks = blocks_of(page or "")
-    score = [evidence(b) for b in blocks]
+    for sentence in SENTENCE_WORDS:
+        score = costs(blocks, sentence)
+        if any(s > 0 for s in score):
+            break
     if all(s > 0 for s in score):
         kept = [True] * len(blocks)
     elif all(s <= 0 for s in score):

@@ -51,6 +51,25 @@ def test_small_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("frame", ['<div id="page" class="right-sidebar">{}</div>', '<div class="site no-sidebar"><div class="no-comments">{}</div></div>', '<p>A line of the paper that stands outside of it all.</p><div class="no-ads">{}</div>'])
+def test_layout_words_around_the_article(frame):
+    for inner in (f"<article>{ARTICLE}</article>", f'<div class="story">{ARTICLE}</div>'):
+        page = frame.format(f"{BOILER['nav']}{BOILER['sidebar']}{inner}{BOILER['comments']}{BOILER['footer']}")
+        assert TEXT in html.main_text(page)
+        assert html.main_text(page).count(LINE) == 1
+
+
+def test_vetoed_text_alone_stays_out():
+    for kind in ("sidebar", "cookie", "advert", "comments", "hidden"):
+        assert html.main_text(f"<body>{BOILER[kind]}</body>") == ""
+
+
+@pytest.mark.parametrize("lines", [["市议会在漫长而热烈的辩论之后投票通过了新桥的建设计划。", "新桥将于明年春天开工，预计耗资三千万元。"], ["สภาเมืองลงมติเกี่ยวกับสะพานใหม่หลังจากการอภิปรายที่ยาวนาน"], ["The new bridge opened today.", "Many people came to see it."]])
+def test_paragraphs_of_few_spaced_words(lines):
+    page = BOILER["nav"] + "<div>" + "".join(f"<p>{x}</p>" for x in lines) + "</div>" + BOILER["footer"]
+    assert html.main_text(page) == "\n".join(lines)
+
+
 def test_long_page():
     page = "<body><nav><a href=x>menu</a></nav><main>" + f"<p>{LINE}</p>" * 3000 + '<p class="' * 500 + "</main></body>"
     assert html.main_text(page).split("\n")[:3000] == [LINE] * 3000
