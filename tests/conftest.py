@@ -3,8 +3,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(HERE))
+for folder in (HERE, os.path.join(HERE, "llm")):  # the latter may be absent
+    sys.path.insert(0, folder)
 
 
 @pytest.fixture(scope="session")
@@ -15,9 +17,3 @@ def spark():
     yield session
     release(session)
     session.stop()
-
-
-def rows_of(df, *columns):
-    """Rows as sorted tuples, for comparison."""
-    columns = columns or sorted(df.columns)
-    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)

@@ -3,7 +3,7 @@
 import gzip
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 """The split plans for large groups give what the ordinary plans give."""
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 """Operators on small written tables."""
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F

@@ -3,7 +3,7 @@
 import datetime
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from cartloom.operators.groups import Order
