@@ -215,7 +215,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     share = [min(1.0, half / max(1, counts.get(q, 0))) for q in (0, 1)]
     spread = F.xxhash64("id").cast("double") / 2.0**64 + 0.5  # even between 0 and 1
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    rows = texts.join(known, "id").select(spread.alias("spread"), "quality", "text")
+    # hashed on the short labels, so that texts are dealt once and never sorted, at every size
+    rows = texts.where(~held_out(F.col("id"))).join(known.hint("shuffle_hash"), "id").select(spread.alias("spread"), "quality", "text")
     made = durable(rows.mapInArrow(_gather(share[1], share[0]), "bucket int, good long, bad long, spread double, quality int, held binary"))
     sums = made.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()
     good, bad = np.zeros(1 << BITS), np.zeros(1 << BITS)
