@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import LOWER, UPPER, durable, lower_ascii, query, table
+from cartloom.llm.common import LOWER, UPPER, durable, fresh, lower_ascii, query, table
 from cartloom.llm.simhash import text_mark
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -107,8 +107,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a benchmark window; other rows stay as they are."""
-    bad = contamination(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-    return docs.join(bad, docs[doc_id].eqNullSafe(F.col("_id")) & (text_mark(docs, text) == F.col("_mark")), "left_anti")
+    row_id, mark = fresh(docs, "_row_id", "_mark")
+    bad = contamination(docs, benchmark, doc_id, text).select(F.col("doc_id").alias(row_id), F.col("mark").alias(mark))
+    return docs.join(bad, docs[doc_id].eqNullSafe(F.col(row_id)) & (text_mark(docs, text) == F.col(mark)), "left_anti")
 
 
 SQL = rf"""

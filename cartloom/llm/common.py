@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartloom.session import durable, tune
@@ -70,6 +70,25 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, how:
     return hot.unionByName(rest)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has one of them in any letter case."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
+def once(df: DataFrame, keys: list[str | Column]) -> DataFrame:
+    """One row of each key, the one with the least hash of all its columns; a task hands on one row a key."""
+    (place,) = fresh(df, "_place")
+    order = Window.partitionBy(*keys).orderBy(F.xxhash64(*[df[c] for c in df.columns]))
+    return df.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+
+
 def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch of ``df``."""
 
@@ -87,5 +106,5 @@ def lower_ascii(text: Column) -> Column:
 
 
 __all__ = [
-    "HEAVY_KEYS", "ORACLE", "QUERIES", "attach", "by_batch", "durable", "lower_ascii", "query", "same", "table", "tune",
+    "HEAVY_KEYS", "ORACLE", "QUERIES", "attach", "by_batch", "durable", "fresh", "lower_ascii", "once", "query", "same", "table", "tune",
 ]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartloom.llm.common import query, table
+from cartloom.llm.common import fresh, query, table
 
 #: Families of ISO 639-1 codes; a code without an entry is a family of its own.
 FAMILIES = {
@@ -148,22 +148,22 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     """``docs`` with ``lang_pred`` and ``score`` (which replace columns of that name).
 
     The score is the smallest duel probability of the family times that of the
-    language. NULL texts and texts without a letter are ``und`` with score 0, as is
+    language. Only the text goes to Python and only the guess returns. NULL texts and texts without a letter are ``und`` with score 0, as is
     every text if nothing could be learned; a language alone in its family needs no
     duel there. Rows are independent of each other; no rows give no rows.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    kind = T.StructType([*[docs.schema[c] for c in kept], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    column = kept.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shared.value.predict(t.as_py()) for t in batch.column(column)]
-            made = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*kept, "lang_pred", "score"])
+    @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    def predict(texts: pa.Array) -> pa.Array:
+        found = [shared.value.predict(t.as_py()) for t in texts]
+        made = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+        return pa.StructArray.from_arrays(made, ["lang_pred", "score"])
 
-    return docs.select(*kept).mapInArrow(run, kind)
+    (guess,) = fresh(docs, "_guess")
+    out = docs.select(*[docs[c] for c in kept], predict(docs[text]).alias(guess))
+    return out.select(*[F.col(f"`{c}`") for c in kept], f"{guess}.lang_pred", f"{guess}.score")
 
 
 @query("op5_language_id")

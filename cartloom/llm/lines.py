@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartloom.llm.common import attach, durable, query, table
+from cartloom.llm.common import attach, durable, fresh, query, table
 
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Bits per expected line, probes per line, and the largest filter (128 MB), which
@@ -162,39 +162,30 @@ def _list_suspects(repeats: Repeats, min_chars: int):
     return run
 
 
-def _split(repeats: Repeats, min_chars: int, wanted: bool):
-    """Rows whose text holds a suspected line, or the others."""
+def _has_suspects(repeats: Repeats, min_chars: int):
+    """Whether a text holds a suspected line."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            mask = [bool(repeats.suspects(t.as_py(), min_chars)) == wanted for t in batch.column(1)]
-            yield batch.filter(pa.array(mask, pa.bool_()))
+    @F.arrow_udf(T.BooleanType())
+    def has(texts: pa.Array) -> pa.Array:
+        return pa.array([bool(repeats.suspects(t.as_py(), min_chars)) for t in texts], pa.bool_())
 
-    return run
+    return has
 
 
-def _apply(min_chars: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, drops = batch.column("text"), batch.column("drops")
-            kept, lines, dropped = [], [], []
-            for text, gone in zip(texts, drops):
-                text, gone = text.as_py(), gone.as_py()
-                n = (text or "").count("\n") + 1
-                if gone:
-                    gone = set(gone)
-                    keep = [k is None or _digest(k) not in gone for k in line_keys(text, min_chars)]
-                    text = "\n".join(line for line, k in zip(text.split("\n"), keep) if k)
-                    dropped.append(n - sum(keep))
-                else:
-                    dropped.append(0)
-                kept.append(text)
-                lines.append(n)
-            rest = [batch.column(i) for i, name in enumerate(batch.schema.names) if name not in ("text", "drops")]
-            names = [name for name in batch.schema.names if name not in ("text", "drops")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], [*names, "text", "n_lines", "n_dropped"])
+def _without(min_chars: int):
+    """A text without the lines whose digests are listed, and the number of those lines."""
 
-    return run
+    @F.arrow_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_dropped", T.LongType())]))
+    def drop(texts: pa.Array, drops: pa.Array) -> pa.Array:
+        kept, dropped = [], []
+        for text, gone in zip(texts, drops):
+            text, gone = text.as_py(), set(gone.as_py() or ())
+            keep = [k is None or _digest(k) not in gone for k in line_keys(text, min_chars)] if gone else []
+            kept.append("\n".join(line for line, k in zip(text.split("\n"), keep) if k) if gone else text)
+            dropped.append(len(keep) - sum(keep))
+        return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(dropped, pa.int64())], ["text", "n_dropped"])
+
+    return drop
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -207,7 +198,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
 
     Every task fills two Bloom filters, merged by segment; only keys the second one
     knows are shuffled, as SHA-256 digests, to count documents and pick the largest
-    id. Documents without such a key never move.
+    id. Documents without such a key never move, and only texts go to Python.
 
     A NULL text has one line and stays NULL; rows of equal doc_id are one document
     when documents are counted; rows without doc_id are one document that is never the
@@ -222,15 +213,18 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     confirmed = durable(by_key.where(F.col("n") >= min_docs))
     hits = attach(suspects, confirmed, ["key"], "n", how="inner").where(~F.col("id").eqNullSafe(F.col("keep")))
     drops = hits.groupBy(F.col("id").alias("_id")).agg(F.collect_list("key").alias("drops"))
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    rows = rows.withColumn("row", F.col("row").dropFields(text)) if len(docs.columns) > 1 else rows
-    moved = rows.mapInArrow(_split(repeats, min_chars, True), rows.schema).join(drops, F.col("id").eqNullSafe(F.col("_id")), "left").drop("_id")
-    still = rows.mapInArrow(_split(repeats, min_chars, False), rows.schema).withColumn("drops", F.lit(None).cast("array<binary>"))
-    both = moved.unionByName(still)
-    made = T.StructType([*[f for f in both.schema if f.name not in ("text", "drops")], *[T.StructField(n, t) for n, t in (("text", T.StringType()), ("n_lines", T.LongType()), ("n_dropped", T.LongType()))]])
-    out = both.mapInArrow(_apply(min_chars), made)
-    own = [F.col("text").alias(text) if c == text else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return out.select(*own, "n_lines", "n_dropped")
+    held, lost, made, row_id = fresh(docs, "_held", "_lost", "_made", "_row_id")
+    marked = docs.withColumn(held, _has_suspects(repeats, min_chars)(docs[text]))
+    drops = drops.select(F.col("_id").alias(row_id), F.col("drops").alias(lost))
+    moved = marked.where(F.col(held))
+    moved = moved.join(drops, moved[doc_id].eqNullSafe(F.col(row_id)), "left")
+    moved = moved.withColumn(made, _without(min_chars)(F.col(text), F.col(lost)))
+    n_lines = F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"))), F.lit(0)).cast("long") + 1
+    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    named = lambda new: [new.alias(text) if c == text else F.col(f"`{c}`") for c in own]
+    changed = moved.select(*named(F.col(made)["text"]), n_lines.alias("n_lines"), F.col(made)["n_dropped"].alias("n_dropped"))
+    still = marked.where(~F.col(held)).select(*named(F.col(f"`{text}`")), n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"))
+    return changed.unionByName(still)
 
 
 SQL = rf"""

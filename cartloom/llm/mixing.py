@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import attach, durable, query, table
+from cartloom.llm.common import attach, durable, fresh, once, query, table
 from cartloom.llm.simhash import text_mark
 
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -68,7 +68,7 @@ def allocate(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str,
 
 
 def select(units: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], share: float, epochs: int, seed: int) -> DataFrame:
-    """``doc_id, mark, levels, tokens, n_epochs`` of the documents a mix takes at least once.
+    """``doc_id, mark, levels, tokens, copies, n_epochs`` of the documents a mix takes at least once.
 
     ``units`` is stored and has one row per document. A leaf's budget pays for whole
     epochs and a last, partial one: of the documents in the order of a hash of seed,
@@ -83,7 +83,7 @@ def select(units: DataFrame, levels: list[str], weights: dict[str, dict[str, int
     facts = joined.select(*levels, "n", F.coalesce(F.expr("try_divide(budget - pmod(budget, nullif(tokens, 0)), tokens)").cast("long"), F.lit(0).cast("long")).alias("whole"), F.col("budget"), F.col("tokens").alias("leaf_tokens"))
     facts = durable(facts.select(*levels, "n", "whole", (F.col("budget") - F.col("whole") * F.col("leaf_tokens")).alias("rest")))
     rows = attach(units, facts, levels, "n")
-    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("doc_id").cast("string")).cast("binary"))
+    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.col("mark").cast("string")))).cast("binary"))
     rows = rows.withColumn("place", place).withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS))
     sums = rows.groupBy(*levels, "bucket").agg(F.sum("tokens").alias("held"))
     order = Window.partitionBy(*levels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -94,7 +94,7 @@ def select(units: DataFrame, levels: list[str], weights: dict[str, dict[str, int
     inner = Window.partitionBy(*levels, "bucket").orderBy("place", "mark").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("running", F.sum("tokens").over(inner)).join(sums, on)
     n = F.col("whole") + (F.col("before") + F.col("running") <= F.col("rest")).cast("long")
-    return rows.select("doc_id", "mark", *levels, "tokens", n.alias("n_epochs")).where("n_epochs > 0")
+    return rows.select("doc_id", "mark", *levels, "tokens", "copies", n.alias("n_epochs")).where("n_epochs > 0")
 
 
 def same_by_name(levels: list[str]) -> Column:
@@ -105,10 +105,10 @@ def same_by_name(levels: list[str]) -> Column:
 
 
 def units_of(docs: DataFrame, levels: dict[str, Column], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, mark, levels, tokens``: one row per document, tokens are words."""
+    """``doc_id, mark, levels, tokens, copies``: one row per document, tokens are words, copies its rows."""
     tokens = F.coalesce(F.regexp_count(text, F.lit(TOKEN)).cast("long"), F.lit(0).cast("long"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_mark(docs, text).alias("mark"), *[c.alias(n) for n, c in levels.items()], tokens.alias("tokens"))
-    return rows.groupBy("doc_id", "mark", *levels).agg(F.max("tokens").alias("tokens"))
+    return rows.groupBy("doc_id", "mark", *levels).agg(F.max("tokens").alias("tokens"), F.count("*").alias("copies"))
 
 
 def default_levels(docs: DataFrame) -> dict[str, Column]:
@@ -121,20 +121,34 @@ def selection(docs: DataFrame, levels: dict[str, Column] | None = None, weights:
 
     ``levels`` names the tree from the root down. NULL languages and sources are the
     empty name; NULL texts have no tokens; documents without tokens cost nothing and
-    are taken where their place is within the prefix; rows of equal id and text are one
-    document, rows of equal id and different text are several; rows without doc_id
-    share one place; an empty table gives no rows.
+    are taken where their place is within the prefix; rows of equal id, text and levels
+    are one document, other rows of equal id are several; rows without doc_id have the
+    place of their text; an empty table gives no rows.
     """
     levels = levels or default_levels(docs)
     return select(durable(units_of(docs, levels, doc_id, text)), list(levels), weights, share, epochs, seed)
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents of ``selection`` with their columns and ``n_epochs`` (which replaces a column of that name)."""
-    taken = selection(docs, doc_id=doc_id, text=text, **options).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("n_epochs").alias("_n"))
+    """The documents of ``selection`` with their columns and ``n_epochs`` (which replaces a column of that name).
+
+    Of a document's equal rows (id, text and levels) one stays.
+    """
+    levels = options.pop("levels", None) or default_levels(docs)
+    row_id, mark, copies, n = fresh(docs, "_row_id", "_mark", "_copies", "_n")
+    names = dict(zip(levels, fresh(docs, *[f"_{x}" for x in levels])))
+    taken = selection(docs, levels, doc_id=doc_id, text=text, **options)
+    taken = taken.select(F.col("doc_id").alias(row_id), F.col("mark").alias(mark), *[F.col(x).alias(y) for x, y in names.items()], F.col("copies").alias(copies), F.col("n_epochs").alias(n))
+    on = docs[doc_id].eqNullSafe(F.col(row_id)) & (text_mark(docs, text) == F.col(mark))
+    for x, column in levels.items():
+        on = on & column.eqNullSafe(F.col(names[x]))
+    met = docs.join(taken, on)
     kept = [c for c in docs.columns if c != "n_epochs"]
-    out = docs.join(taken, docs[doc_id].eqNullSafe(F.col("_id")) & (text_mark(docs, text) == F.col("_mark")))
-    return out.dropDuplicates(["_id", "_mark"]).select(*[docs[c] for c in kept], F.col("_n").alias("n_epochs"))
+    single = met.where(F.col(copies) == 1).select(*[docs[c] for c in kept], F.col(n).alias("n_epochs"))
+    if taken.where(F.col(copies) > 1).isEmpty():
+        return single
+    several = once(met.where(F.col(copies) > 1), [row_id, mark, *names.values()])
+    return single.unionByName(several.select(*[F.col(f"`{c}`") for c in kept], F.col(n).alias("n_epochs")))
 
 
 def _case(column: str, level: str) -> str:

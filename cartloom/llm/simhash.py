@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartloom.llm.common import attach, durable, query, table
+from cartloom.llm.common import attach, durable, fresh, once, query, table
 from cartloom.llm.graph import components
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
@@ -156,6 +156,21 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> D
     return tasks.sortWithinPartitions("list", "i", "j").mapInArrow(_link(max_bits), "a long, b long")
 
 
+def _placed(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int, block: int) -> DataFrame:
+    """``doc_id, mark, fp, component_id, first_mark``: id and text mark of the first row of every row's component."""
+    rows = durable(fingerprints(docs, doc_id, text, shingle))
+    first = F.min(F.struct("doc_id", "mark"))
+    known = rows.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(first.alias("first"), F.count("*").alias("n"))
+    classes = durable(known)
+    found = components(links(classes.select("fp", F.col("fp").alias("node")), max_bits, block))
+    named = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first", "n", F.coalesce("component", "fp").alias("root"))
+    named = durable(named)
+    roots = durable(named.groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("classes")))
+    named = durable(attach(named, roots, ["root"], "classes").select("fp", F.col("least.doc_id").alias("component_id"), F.col("least.mark").alias("first_mark"), "n"))
+    out = attach(rows, named, ["fp"], "n")
+    return out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """``doc_id, mark, fp, component_id`` for every row of ``docs``.
 
@@ -165,31 +180,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     NULL, empty and blank texts have fingerprint 0, which links like any other. Rows
     without doc_id link nothing and have no component_id; rows of equal doc_id all
-    appear; further columns are ignored; no rows give no rows.
+    appear, each in the component of its own text; further columns are ignored; no rows
+    give no rows.
     """
-    rows = durable(fingerprints(docs, doc_id, text, shingle))
-    known = rows.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("n"))
-    classes = durable(known)
-    found = components(links(classes.select("fp", "node"), max_bits, block)).withColumnRenamed("node", "_node")
-    named = classes.join(found, F.col("node") == F.col("_node"), "left")
-    named = durable(named.select("fp", F.coalesce("component", "node").alias("component_id"), "n"))
-    out = attach(rows, named, ["fp"], "n")
-    return out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
+    return _placed(docs, doc_id, text, shingle, max_bits, block).drop("first_mark")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id.
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+    """``docs`` with one document of each component: the smallest id, of equal ids the smallest text hash.
 
-    Rows of equal id and text are one document. A row without id is in no component and
-    stays.
+    Rows of equal id and text are one document, of which one row stays. Rows of equal id
+    and unlike texts are several, each judged in the component of its own text. A row
+    without id is in no component and stays. Only the rows to be dropped or thinned are
+    joined to the documents.
     """
-    found = near_duplicates(docs, doc_id, text, **options)
-    stays = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    # of rows with that smallest id but different texts the one with the smallest hash stays
-    first = stays.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("mark")).alias("_each")).agg(F.min("mark").alias("_mark"))
-    first = first.select(F.col("doc_id").alias("_id"), "_mark")
-    out = docs.join(first, docs[doc_id].eqNullSafe(F.col("_id")) & (text_mark(docs, text) == F.col("_mark")))
-    return out.dropDuplicates(["_id", "_mark"]).select(*[docs[c] for c in docs.columns])
+    found = durable(_placed(docs, doc_id, text, shingle, max_bits, block))
+    stays = F.col("doc_id").isNull() | ((F.col("doc_id") == F.col("component_id")) & (F.col("mark") == F.col("first_mark")))
+    each = found.groupBy("doc_id", "mark").agg(F.bool_or(stays).alias("stays"), F.count("*").alias("n"))
+    row_id, mark, thin = fresh(docs, "_row_id", "_mark", "_thin")
+    special = durable(each.where(~F.col("stays") | (F.col("n") > 1)).select(F.col("doc_id").alias(row_id), F.col("mark").alias(mark), F.col("stays").alias(thin)))
+    met = docs.join(special, docs[doc_id].eqNullSafe(F.col(row_id)) & (text_mark(docs, text) == F.col(mark)), "left")
+    plain = met.where(F.col(thin).isNull()).select(*[docs[c] for c in docs.columns])
+    if special.where(F.col(thin)).isEmpty():
+        return plain
+    again = once(met.where(F.col(thin)).drop(thin), [row_id, mark])
+    return plain.unionByName(again.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 @query("op8_simhash")
