@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even when a later operator then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Batches to Python are bounded by bytes as well as rows, since one row may be a long text.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
 }
 
 
