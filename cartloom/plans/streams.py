@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartloom.functions.scalar import rows
 from cartloom.operators import changes
+from cartloom.operators.buckets import BucketTable
 from cartloom.operators.groups import Order
 from cartloom.plans.changes import COLS, KEY, V2, misspelt, order_rules, version_two
 from cartloom.plans.registry import query
@@ -43,18 +44,20 @@ def ingest_lag(m):
 
 @query("stream_cdc_merge", f"SELECT * FROM {V2}")
 def stream_cdc_merge(m):
-    """A first version of the orders, then a feed in two files, the later one
-    repeating part of the earlier."""
-    table, feeds, mark = paths(m, "orders", "feed", "mark")
-    m.orders().write.parquet(f"{table}/version=0")
-    feed = durable(changes.change_feed(m.orders(), version_two(m), KEY))
+    """A first version of the orders in key buckets, then a feed in two files, the later
+    one repeating part of the earlier; each batch rewrites the buckets that it touches."""
+    path, feeds, mark = paths(m, "orders", "feed", "mark")
+    orders = m.orders()
+    size = int(m.spark.conf.get("spark.sql.shuffle.partitions"))
+    table = BucketTable(m.spark, path, orders.schema, tuple(KEY), buckets=size)
+    table.create(orders)
+    feed = durable(changes.change_feed(orders, version_two(m), KEY))
     numbered = lambda n: feed.withColumn("round", F.lit(n))
     order = [Order("round"), Order("is_update")]
     for n, part in ((1, numbered(1).filter(~F.col("is_update"))), (2, numbered(2))):
         part.write.mode("append").parquet(feeds)
-        arriving = ingest.arriving(m.spark, feeds, numbered(1).schema)
-        cdc.merge_stream(m.spark, arriving, table, mark, KEY, order)
-    return cdc.latest_state(m.spark, table)
+        cdc.merge_buckets(ingest.arriving(m.spark, feeds, numbered(1).schema), table, mark, order)
+    return table.read()
 
 
 def live_orders(m):

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from cartloom.operators.buckets import BucketTable
 from cartloom.operators.changes import apply_changes
 from cartloom.operators.groups import Order
 from cartloom.operators.quality import route
@@ -31,6 +32,21 @@ def merge_stream(
     each_batch(feed, checkpoint, fold)
 
 
+def merge_buckets(feed: DataFrame, target: BucketTable, checkpoint: str, sequence: Sequence[Order], keep: int = 2) -> None:
+    """Fold an arriving feed into a table of key buckets, whose version 0 exists.
+
+    Batch n turns version n into version n + 1 and rewrites only the buckets that hold a
+    key of the batch. A batch repeated after a failure starts from the same version and
+    replaces its own parts. Versions other than the last ``keep`` are pruned.
+    """
+
+    def fold(batch: DataFrame, number: int) -> None:
+        target.fold(batch, number, sequence)
+        target.prune(keep)
+
+    each_batch(feed, checkpoint, fold)
+
+
 def latest_state(spark: SparkSession, target: str) -> DataFrame:
     return current(spark, target)
 

@@ -5,7 +5,9 @@ import datetime
 import pytest
 from helpers import rows_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cartloom.operators.buckets import BucketTable
 from cartloom.operators.groups import Order
 from cartloom.operators.metering import tumbling
 from cartloom.streaming import alerts, cdc, ingest
@@ -49,6 +51,62 @@ def test_merge_stream_is_idempotent_and_skips_nothing_new(spark, tmp_path):
     assert run() == [(1, "x"), (3, "c")]
 
 
+def part_times(path):
+    return {str(p): p.stat().st_mtime_ns for p in path.glob("parts/*/*/*.parquet")}
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
+    path, feed, mark = tmp_path / "table", f"{tmp_path}/feed", f"{tmp_path}/mark"
+    rows = [(k, f"v{k}") for k in range(2000)]
+    table = BucketTable(spark, str(path), T.StructType.fromDDL(DDL), ("id",), buckets=64)
+    table.create(spark.createDataFrame(rows, DDL))
+    before = part_times(path)
+    assert len(before) == 64
+
+    def run():
+        cdc.merge_buckets(ingest.arriving(spark, feed, FEED), table, mark, [Order("round")])
+        return dict(rows_of(table.read(), "id", "v"))
+
+    want = dict(rows)
+    changed = list(range(0, 2000, 100))  # one key of a hundred
+    put(spark, feed, [(k, "new", "INSERT", True, 1) for k in changed], FEED)
+    want |= {k: "new" for k in changed}
+    assert run() == want
+    after = part_times(path)
+    fresh_parts = {p.split("_bucket=")[1].split("/")[0] for p in after if "version=1/" in p}
+    hit = {str(r[0]) for r in spark.createDataFrame([(k,) for k in changed], "id int").select(table.bucket()).distinct().collect()}
+    assert fresh_parts == hit and len(hit) < 22
+    assert all(after[p] == t for p, t in before.items())  # no other file was written; the version before stays
+    assert run() == want and part_times(path) == after  # no new files: nothing is written
+    # the same changes in a later batch change no row
+    put(spark, feed, [(k, "new", "INSERT", True, 1) for k in changed], FEED)
+    assert run() == want
+    kept = {p for p in part_times(path) if "version=0/" in p}
+    assert all(p.split("_bucket=")[1].split("/")[0] not in hit for p in kept)  # pruned where replaced
+    assert table.versions() == [1, 2]
+
+
+def test_a_repeated_fold_and_emptied_buckets(spark, tmp_path):
+    table = BucketTable(spark, f"{tmp_path}/t", T.StructType.fromDDL(DDL), ("id",), buckets=3)
+    table.create(spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], DDL))
+    feed = spark.createDataFrame([(1, "x", "INSERT", True, 1), (2, "b", "DELETE", False, 1), (9, "i", "INSERT", False, 1)], FEED)
+    for _ in range(2):  # the second one as after a failure
+        table.fold(feed, 0, [Order("round")])
+        assert rows_of(table.read(), "id", "v") == rows_of(spark.createDataFrame([(1, "x"), (9, "i"), (None, "n")], DDL), "id", "v")
+    assert rows_of(table.read(0), "v") == [("a",), ("b",), ("n",)]
+    # a version whose list was never finished is not seen
+    table._write(spark.createDataFrame([(7, "half")], DDL), 2)
+    assert rows_of(table.read(), "v") == [("i",), ("n",), ("x",)]
+    gone = spark.createDataFrame([(1, "x", "DELETE", False, 2), (9, "i", "DELETE", False, 2), (None, "n", "DELETE", False, 2)], FEED)
+    table.fold(gone, 1, [Order("round")])
+    assert rows_of(table.read(), "v") == [("n",)]  # a NULL key is matched by no change
+    assert len(table.parts()) == 1  # emptied buckets drop out
+    empty = BucketTable(spark, f"{tmp_path}/e", T.StructType.fromDDL(DDL), ("id",))
+    empty.create(spark.createDataFrame([], DDL))
+    assert empty.read().count() == 0
+    assert empty.fold(feed.where("false"), 0, [Order("round")]) == [] and empty.versions() == [0, 1]
+
+
 def test_a_failed_batch_is_repeated(spark, tmp_path):
     inbox, out, mark = (f"{tmp_path}/{x}" for x in "abc")
     put(spark, inbox, [(1, "a")])
