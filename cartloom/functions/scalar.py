@@ -44,4 +44,9 @@ def refunded() -> Column:
 
 def total_of(x: str) -> Column:
     """Sum of partial sums of amounts, to two decimals."""
-    return F.round(_exact(F.sum(x)).cast("decimal(38,4)"), 2).cast("double")
+    return settled(F.sum(x))
+
+
+def settled(total: Column) -> Column:
+    """A summed amount, to two decimals."""
+    return F.round(_exact(total).cast("decimal(38,4)"), 2).cast("double")

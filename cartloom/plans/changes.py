@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartloom.functions.scalar import rows, total_of
+from cartloom.functions.scalar import rows, settled
 from cartloom.operators import changes, quality, rewrite
 from cartloom.operators.groups import Order, newest
+from cartloom.operators.maintained import MaintainedTotals
 from cartloom.operators.rewrite import Clause
 from cartloom.plans import oracle as q
 from cartloom.plans.joins import ts
 from cartloom.plans.registry import query
-from cartloom.session import durable, scratch
+from cartloom.session import durable, kept, scratch
 
 KEY = ["order_id"]
 COLUMNS = ["order_id", "customer_id", "order_status", "order_total", "created_at", "shipping_method"]
@@ -293,17 +294,18 @@ def incident_report(m):
 @query("incremental_aggregate", f"""SELECT product_id, count(*) AS rows, {q.money('line_total')} AS total,
   round(min(line_total), 4) AS low, round(max(line_total), 4) AS high FROM item GROUP BY product_id""")
 def incremental_aggregate(m):
-    """A stored aggregate plus the rows that came later equals a recompute.  Only the
-    later rows are read when the aggregate is refreshed."""
-    i = m.items(deal=False).select("product_id", "line_total", "shipped_at")
-    cut = ts("2000-01-01")
-    stored = durable(changes.totals(i.filter(F.col("shipped_at") < cut), ["product_id"], "line_total"))
-    late = i.filter(F.col("shipped_at") >= cut)
-    t = changes.merge_totals(stored, late, ["product_id"], "line_total")
-    g = t.groupBy("product_id")
-    return g.agg(
-        F.sum("rows").alias("rows"),
-        total_of("total").alias("total"),
-        F.round(F.min("low"), 4).alias("low"),
-        F.round(F.max("high"), 4).alias("high"),
+    """Totals kept over the stored items. The first call folds in all files; later ones
+    compare the file listing with the mark and read only files that came since."""
+    columns = lambda rows: rows.select(
+        F.col("l_partkey").alias("product_id"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("line_total")
+    )
+    source = f"{m.path}/lineitem.parquet"
+    kept_totals = MaintainedTotals(m.spark, kept(m.spark, "item-totals", source), source, ("product_id",), "line_total", columns)
+    kept_totals.refresh()
+    return kept_totals.read().select(
+        "product_id",
+        "rows",
+        settled(F.col("total")).alias("total"),
+        F.round("low", 4).alias("low"),
+        F.round("high", 4).alias("high"),
     )

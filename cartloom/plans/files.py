@@ -15,6 +15,7 @@ from cartloom.plans.projection import RAW_SIZE, raw_sizes
 from cartloom.plans.registry import query
 from cartloom.session import scratch
 from cartloom.sources import loading, readers, writers
+from cartloom.sources.ledger import Ledger, load_folder, loaded_rows
 from cartloom.sources.readers import CsvFormat
 
 ORDER_DDL = "order_id bigint, customer_id bigint, order_status string, order_total double, created_at timestamp_ntz, shipping_method string"
@@ -175,21 +176,15 @@ def load_history(m):
 
 @query("load_dedup", """SELECT order_status, count(*) AS rows, round(sum(order_total), 2) AS total FROM ord GROUP BY 1""")
 def load_dedup(m):
-    """Two loads of a growing folder: the second takes only the files that are new."""
+    """Three loads of a growing folder: each takes up only files that no load took in as
+    they are, and the last one finds none."""
     folder, table = scratch(m.spark, "inbox"), scratch(m.spark, "table")
-    nothing = m.spark.createDataFrame([], "file string, status string")
-
-    def load(seen):
-        files = loading.new_files(m.spark, folder, seen, pattern="*.csv")
-        checked = loading.checked(m.spark, files, ORDER_DDL)
-        loading.load(checked, loading.OnError.CONTINUE).write.mode("append").parquet(table)
-        return loading.history(checked, loading.OnError.CONTINUE).select("file", "status")
-
-    for statuses in (["delivered"], ["shipped", "placed"]):
-        o = m.orders(*statuses)
-        o.write.mode("append").option("header", True).csv(folder)
-        nothing = nothing.unionByName(load(nothing))
-    return m.spark.read.parquet(table).groupBy("order_status").agg(
+    books = Ledger(m.spark, scratch(m.spark, "ledger"))
+    for statuses in (["delivered"], ["shipped", "placed"], []):
+        if statuses:
+            m.orders(*statuses).write.mode("append").option("header", True).csv(folder)
+        load_folder(books, folder, table, ORDER_DDL, pattern="*.csv")
+    return loaded_rows(books, table).groupBy("order_status").agg(
         rows().alias("rows"), F.round(F.sum("order_total"), 2).alias("total")
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -71,6 +72,12 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{_own_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def kept(spark: SparkSession, label: str, *of: str) -> str:
+    """The path of something that later calls find again, named by what it was made of."""
+    mark = hashlib.sha256("\0".join(of).encode()).hexdigest()[:32]
+    return f"{_own_root(spark)}/{label}-{mark}"
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application stored; call it when its results are consumed."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
