@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from cartloom.functions.scalar import mean, money, month, pct, r2, rows, total_of
 from cartloom.functions.udfs import custom_aggregate
 from cartloom.operators import quality
-from cartloom.operators.groups import Order, attach, find_hot, ranked, tiles
+from cartloom.operators.borders import tiles_of_all
+from cartloom.operators.groups import Order, attach, find_hot, ranked
 from cartloom.operators.hierarchy import walk
 from cartloom.plans import oracle as q
 from cartloom.plans.joins import per_order_totals, supplier_ratings, ts
@@ -266,12 +267,11 @@ def rfm(m):
         money("order_total").alias("monetary"),
     )
     g = g.withColumn("recency", F.datediff(last_day, F.col("_last")).cast("bigint")).drop("_last")
-    # One row per customer, read by three rankings: stored once.
+    # One row per customer, counted several times to find the borders: stored once.
     g, tie = durable(g), Order("customer_id")
-    hot = find_hot(g, [])
-    g = tiles(g, [], [Order("recency"), tie], 5, "r", hot=hot)
-    g = tiles(g, [], [Order("frequency", True), tie], 5, "f", hot=hot)
-    g = tiles(g, [], [Order("monetary", True), tie], 5, "mo", hot=hot)
+    g = tiles_of_all(g, [Order("recency"), tie], 5, "r")
+    g = tiles_of_all(g, [Order("frequency", True), tie], 5, "f")
+    g = tiles_of_all(g, [Order("monetary", True), tie], 5, "mo")
     return g.withColumn("score", F.col("r") + F.col("f") + F.col("mo"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartloom.functions.scalar import mean, money, month, r2, rows
+from cartloom.operators.borders import tiles_of_all
 from cartloom.operators.groups import (
     Neighbour,
     Order,
@@ -22,10 +23,10 @@ from cartloom.operators.groups import (
     in_order,
     newest,
     ranked,
-    tiles,
 )
 from cartloom.plans import oracle as q
 from cartloom.plans.registry import query
+from cartloom.session import durable
 
 BY_DATE = [Order("created_at"), Order("order_id")]
 
@@ -86,8 +87,9 @@ def rank_variants(m):
   AS quartile FROM c) SELECT *, CASE quartile WHEN 1 THEN 'top' WHEN 2 THEN 'upper' WHEN 3 THEN 'lower' ELSE 'bottom' END
   AS spend_group FROM t""")
 def spend_quartiles(m):
-    spent = m.orders("delivered").groupBy("customer_id").agg(money("order_total").alias("spent"))
-    t = tiles(spent, [], [Order("spent", True), Order("customer_id")], 4, "quartile")
+    # One row per customer, counted several times to find the borders: stored once.
+    spent = durable(m.orders("delivered").groupBy("customer_id").agg(money("order_total").alias("spent")))
+    t = tiles_of_all(spent, [Order("spent", True), Order("customer_id")], 4, "quartile")
     names = F.array(*[F.lit(x) for x in ("top", "upper", "lower", "bottom")])
     return t.withColumn("spend_group", F.element_at(names, F.col("quartile").cast("int")))
 
@@ -98,7 +100,7 @@ def spend_quartiles(m):
   GROUP BY decile""")
 def price_deciles(m):
     """Price tenth against rating; reviews are summed per product first."""
-    p = tiles(m.products().select("product_id", "unit_price"), [], [Order("unit_price"), Order("product_id")], 10, "decile")
+    p = tiles_of_all(m.products().select("product_id", "unit_price"), [Order("unit_price"), Order("product_id")], 10, "decile")
     r = m.reviews().groupBy("product_id").agg(rows().alias("n"), F.sum("rating").alias("stars"))
     return p.join(r, "product_id", "left").groupBy("decile").agg(
         rows().alias("products"),
