@@ -44,6 +44,10 @@ NEVER_WORDS = set(
     " advertisement advertising adsbygoogle sponsor sponsored promo promotion newsletter subscribe subscription signup login breadcrumb"
     " breadcrumbs pagination pager popup modal overlay complementary contentinfo dialog related recommended respond".split()
 )
+#: Words of reader comments, which stay out however long they are.
+TALK_WORDS = set("comment comments reply replies disqus respond".split())
+#: Beginnings of class names that describe a layout: 'no-sidebar' and 'has-comments' say nothing of what is inside.
+LAYOUT = re.compile(r"(?:no|has|have|with|without|hide|show)[-_]")
 #: Words that usually do not, unless the article starts further inside.
 SELDOM_WORDS = set("header masthead banner notice alert share sharing social widget toolbar form search skip legal copyright side teaser teasers".split())
 ARTICLE_TAGS = {"article", "main"}
@@ -67,7 +71,7 @@ SENTENCE_WORDS = (8, 5)
 
 
 class Element:
-    __slots__ = ("article", "key", "never", "seldom", "tag", "vetoes", "word")
+    __slots__ = ("article", "articles", "covered", "key", "never", "seldom", "tag", "talk", "vetoes", "word")
 
     def __init__(self, key: int, tag: str, attributes: str, parent: Element | None):
         words: set[str] = set()
@@ -76,7 +80,8 @@ class Element:
             for name, *value in ATTRIBUTE.findall(attributes):
                 value, name = "".join(value), name.lower()
                 if name in ("class", "id", "role"):
-                    found = WORD.findall(CAMEL.sub(" ", value).lower())
+                    named = [n for n in CAMEL.sub(" ", value).lower().split() if not LAYOUT.match(n)]
+                    found = WORD.findall(" ".join(named))
                     words.update(found)
                     if name == "role":
                         certain.update(found)
@@ -94,6 +99,15 @@ class Element:
         self.never = hard or bool(parent and parent.never)
         outside = parent.vetoes if parent else ()
         self.vetoes = (*outside, key) if veto and not hard else outside
+        # comment sections around this element, and those that an article of their own covers it from
+        self.articles: dict[int, int] = parent.articles if parent else {}
+        self.talk, self.covered = (parent.talk, parent.covered) if parent else ((), ())
+        if not words.isdisjoint(TALK_WORDS):
+            self.talk = (*self.talk, key)
+        elif tag in ARTICLE_TAGS and self.talk:
+            for k in self.talk:
+                self.articles[k] = self.articles.get(k, 0) + 1
+            self.talk, self.covered = (), (*self.covered, *self.talk)
         inside = bool(parent and parent.article)
         self.article = article or inside
         if tag == "header" and inside:
@@ -208,19 +222,27 @@ def evidence(block: Block, sentence: int = SENTENCE_WORDS[0]) -> int:
 def costs(blocks: list[Block], sentence: int = SENTENCE_WORDS[0]) -> list[int]:
     """Evidence of all blocks, and NEVER below a class or id that vetoes.
 
-    A layout names itself by such words as well ('no-sidebar' around a page). The
+    A layout names itself by such words as well ('right-sidebar' around a page). The
     vetoes above some blocks fall where these blocks hold more evidence for content
-    than a veto costs, and over twice that of all blocks without one.
+    than a veto costs, over twice that of all blocks without one, and an article
+    element or paragraphs of one parent among them: a list of teasers or notes has one
+    paragraph an entry. Those of a comment section never fall, unless one article
+    element, and no second one, starts further inside.
     """
     score = [evidence(b, sentence) for b in blocks]
+    talk = [bool(e.talk) or any(e.articles[k] > 1 for k in e.covered) for e in (b.element for b in blocks)]
     held: dict[tuple[int, ...], int] = {}
-    for b, s in zip(blocks, score):
-        if s > 0:
+    prose: dict[tuple[int, ...], dict[int, int]] = {}
+    for b, s, t in zip(blocks, score, talk):
+        if s > 0 and not t:
             held[b.element.vetoes] = held.get(b.element.vetoes, 0) + s
+            found = prose.setdefault(b.element.vetoes, {})
+            found[b.parent] = found.get(b.parent, 0) + (2 if b.element.article else b.tag == "p")
     free = held.pop((), 0)
     first = max(held, key=held.get, default=())
-    lifted = set(first) if first and held[first] > max(VETO, 2 * free) else set()
-    return [s if lifted.issuperset(b.element.vetoes) else NEVER for b, s in zip(blocks, score)]
+    whole = first and max(prose[first].values()) > 1
+    lifted = set(first) if whole and held[first] > max(VETO, 2 * free) else set()
+    return [s if lifted.issuperset(b.element.vetoes) and not t else NEVER for b, s, t in zip(blocks, score, talk)]
 
 
 def neighbours(blocks: list[Block]) -> list[tuple[int, int, int]]:

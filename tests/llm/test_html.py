@@ -108,3 +108,21 @@ def test_rows(spark):
     assert out.columns == ["page_id", "url", "extra", "text", "n_chars"]
     assert sorted((r.page_id or 0, r.text, r.n_chars, r.extra) for r in out.collect()) == [(0, LINE, len(LINE), 2), (1, "", 0, 2), (1, LINE, len(LINE), 2)]
     assert html.extract(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("frame", [
+    '<article><h1>On rivers</h1>{}<section class="comments">{}</section></article>',
+    '<main>{}<div id="comments">{}</div></main>',
+    '<div id="content">{}</div><div id="comments">{}</div>',
+    '<div class="has-comments no-sidebar"><div class="post">{}</div><ol class="comment-list">{}</ol></div>',
+])
+@pytest.mark.parametrize("shape", ["<p>{}</p>", '<div class="comment"><p>{}</p></div>', '<article class="comment"><p>{}</p><p>And that is all I have to say about it today.</p></article>', "<article><p>{}</p></article>"])
+def test_comments_stay_out_whatever_their_length(frame, shape):
+    for n, m in product((1, 2, 5), (2, 8, 20)):
+        if shape == "<article><p>{}</p></article>" and frame.startswith("<article>"):
+            continue  # articles in an article are told apart by nothing
+        article = "".join(f"<p>The river {k} rises in the hills, crosses the plain and reaches the sea after many days.</p>" for k in range(n))
+        said = "".join(shape.format(f"I walked along it {k} years ago with my sister, and we both still speak of that long and happy summer.") for k in range(m))
+        text = html.main_text(f"<html><body>{frame.format(article, said)}</body></html>")
+        assert "walked" not in text and "have to say" not in text, (n, m)
+        assert text.count("reaches the sea") == n
