@@ -12,39 +12,47 @@ from cartloom.session import durable
 def walk(nodes: DataFrame, node: str, parent: str, label: str, separator: str = " > ") -> DataFrame:
     """Depth and path of every node; a root is a node without parent.
 
-    One join per level: the frontier of a level meets the nodes by parent, and a parent
-    of very many children is served by several tasks.  A node has one parent, so the
-    output never exceeds the input, and the walk ends when a level is empty.  Levels are
-    written to shared storage, which keeps the plan short and survives a lost executor.
+    Pointer doubling: every node knows the path from some ancestor (at first its parent)
+    down to itself, and each round takes over what that ancestor knows, which doubles
+    the distance. A tree of depth d needs about log2(d) rounds, each one join of the nodes
+    that have not reached their root, and the result is one stored table. An ancestor
+    that very many nodes point at is served by several tasks. Rounds are written to
+    shared storage, which keeps the plan short and survives a lost executor.
+
     Repeated ids are refused, and so are nodes that no root reaches: their parents form
     a cycle or are missing.
     """
-    nodes = durable(nodes.select(node, parent, label))  # read once per level
-    if not nodes.groupBy(node).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+    given = nodes.select(F.col(node).alias("_node"), F.col(parent).alias("_up"), F.col(label).alias("_path"))
+    state = durable(given.withColumns({"_label": F.col("_path"), "_steps": F.lit(0).cast("bigint"), "_lost": F.lit(False)}))
+    if not state.groupBy("_node").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
         raise ValueError("a node is listed more than once")
-    children = durable(nodes.groupBy(parent).agg(F.count(F.lit(1)).alias("_children")))
-    level = nodes.filter(F.col(parent).isNull()).select(
-        node, label, F.lit(0).cast("bigint").alias("depth"), F.col(label).alias("path")
-    )
-    level = durable(level)
-    found, depth = [], 0
-    while not level.isEmpty():
-        found.append(level)
-        depth += 1
-        up = level.select(F.col(node).alias(parent), F.col("path").alias("_path")).join(children, parent)
-        below = attach(nodes, up, [parent], "_children", [node])
-        level = durable(
-            below.select(
-                node, label, F.lit(depth).cast("bigint").alias("depth"),
-                F.concat_ws(separator, "_path", label).alias("path"),
-            )
+    going = F.col("_up").isNotNull() & ~F.col("_lost")
+    before, left = None, state.filter(going).count()
+    # every round settles some node of a tree; when none is settled, cycles are all that is left
+    while left and left != before:
+        open_ = state.filter(going)
+        asked = open_.groupBy("_up").agg(F.count(F.lit(1)).alias("_children"))
+        # what an ancestor knows, for each one that is asked; a missing one makes its nodes lost
+        known = state.select(F.col("_node").alias("_up"), F.col("_up").alias("_next"), F.col("_path").alias("_above"), F.col("_steps").alias("_more"), F.col("_lost").alias("_gone"))
+        known = durable(asked.join(known, "_up", "left").withColumn("_gone", F.coalesce("_gone", F.lit(True))))
+        met = attach(open_, known, ["_up"], "_children", ["_node"])
+        moved = met.select(
+            "_node",
+            F.col("_next").alias("_up"),
+            F.concat_ws(separator, "_above", "_path").alias("_path"),
+            "_label",
+            (F.col("_steps") + F.col("_more") + 1).alias("_steps"),
+            F.col("_gone").alias("_lost"),
         )
-    tree = found[0] if found else level
-    for more in found[1:]:
-        tree = tree.unionByName(more)
-    lost = nodes.join(tree.select(node), node, "left_anti").count()
+        state = durable(state.filter(~going).unionByName(moved))
+        before, left = left, state.filter(going).count()
+    lost = state.filter(F.col("_up").isNotNull() | F.col("_lost")).count()
     if lost:
         raise ValueError(f"no root reaches {lost} nodes: their parents form a cycle or are missing")
-    return tree.withColumn(
-        "indented", F.concat(F.repeat(F.lit("  "), F.col("depth").cast("int")), F.col(label))
+    return state.select(
+        F.col("_node").alias(node),
+        F.col("_label").alias(label),
+        F.col("_steps").alias("depth"),
+        F.col("_path").alias("path"),
+        F.concat(F.repeat(F.lit("  "), F.col("_steps").cast("int")), F.col("_label")).alias("indented"),
     )

@@ -13,6 +13,7 @@ from cartloom.functions.scalar import mean, money, month, pct, r2, rows, total_o
 from cartloom.functions.udfs import custom_aggregate
 from cartloom.operators import quality
 from cartloom.operators.borders import tiles_of_all
+from cartloom.operators.distinct import distinct_counts, merged, sketches
 from cartloom.operators.groups import Order, attach, find_hot, ranked
 from cartloom.operators.hierarchy import walk
 from cartloom.plans import oracle as q
@@ -35,9 +36,9 @@ def count_variants(m):
 @query("count_distinct_multi", """SELECT count(DISTINCT order_id) AS orders, count(DISTINCT product_id) AS products,
   count(DISTINCT supplier_id) AS suppliers, count(DISTINCT shipped_at) AS days FROM item""")
 def count_distinct_multi(m):
-    i = m.items()
     names = {"orders": "order_id", "products": "product_id", "suppliers": "supplier_id", "days": "shipped_at"}
-    return i.agg(*[F.count_distinct(c).alias(n) for n, c in names.items()])
+    # generated ids fill their range; days do not
+    return distinct_counts(m.items(deal=False), names, dense=["order_id", "product_id", "supplier_id"])
 
 
 @query("approx_distinct")
@@ -46,6 +47,19 @@ def approx_distinct(m):
     return m.items().agg(F.approx_count_distinct("order_id", 0.01).alias("approx_orders"))
 
 
+@query("distinct_sketches", """SELECT CAST(year(shipped_at) AS BIGINT) AS ship_year, count(DISTINCT order_id) AS orders,
+  true AS estimate_within_5_pct FROM item GROUP BY ALL""")
+def distinct_sketches(m):
+    """Sketches per shipping day are stored; a year's estimate is merged from its days
+    alone and held against the exact count."""
+    i = m.items(deal=False).select("order_id", F.to_date("shipped_at").alias("day"), F.year("shipped_at").cast("bigint").alias("ship_year"))
+    stored = durable(sketches(i, "day", "order_id"))
+    about = merged(stored.withColumn("ship_year", F.year("day").cast("bigint")), "ship_year")
+    exact = distinct_counts(i, {"orders": "order_id"}, dense=["order_id"], by=["ship_year"])
+    both = exact.join(about, exact.ship_year.eqNullSafe(about.ship_year))
+    return both.select(exact.ship_year, "orders", (F.abs(F.col("estimate") - F.col("orders")) <= 0.05 * F.col("orders")).alias("estimate_within_5_pct"))
+
+
 @query("conditional_agg", f"""SELECT count(*) AS orders, count(*) FILTER (order_total >= 400000) AS high,
   count(*) FILTER (order_total >= 100000 AND order_total < 400000) AS middle,
   count(*) FILTER (order_total < 100000) AS low, {q.mean('order_total')} AS avg_total
@@ -298,11 +312,9 @@ def coefficient_of_variation(m):
   count(DISTINCT customer_id) AS people FROM click WHERE created_at >= TIMESTAMP '2024-01-05' GROUP BY event_type""")
 def event_funnel(m):
     c = m.clicks().filter(F.col("created_at") >= ts("2024-01-05"))
-    return c.groupBy("event_type").agg(
-        rows().alias("events"),
-        F.count_distinct("session_id").alias("sessions"),
-        F.count_distinct("customer_id").alias("people"),
-    )
+    people = distinct_counts(c, {"sessions": "session_id", "people": "customer_id"}, dense=["customer_id"], by=["event_type"])
+    events = c.groupBy("event_type").agg(rows().alias("events"))
+    return events.join(people, events.event_type.eqNullSafe(people.event_type)).select(events.event_type, "events", "sessions", "people")
 
 
 @query("pricing_summary", f"""SELECT return_flag, line_status, CAST(sum(quantity) AS BIGINT) AS units,

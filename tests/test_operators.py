@@ -1,5 +1,7 @@
 """Operators on small written tables."""
 
+import random
+
 import pytest
 from helpers import rows_of
 from pyspark.errors import PySparkException
@@ -7,7 +9,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from cartloom.functions import text, udfs
-from cartloom.operators import changes, evolve, layout, metering, protect, quality, rewrite
+from cartloom.operators import changes, distinct, evolve, layout, metering, protect, quality, rewrite
 from cartloom.operators.groups import Order
 from cartloom.operators.hierarchy import walk
 from cartloom.operators.rewrite import Clause
@@ -185,6 +187,54 @@ def test_a_cycle_is_reported(spark):
         walk(twice, "id", "parent", "name")
 
 
+def test_deep_chains_take_few_rounds(spark, monkeypatch):
+    from cartloom.operators import hierarchy
+
+    rounds = []
+    plain = hierarchy.attach
+    monkeypatch.setattr(hierarchy, "attach", lambda *a, **k: (rounds.append(1), plain(*a, **k))[1])
+    n = 2500
+    chain = spark.range(n).select(F.col("id"), F.lit("x").alias("name"), F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"))
+    tree = hierarchy.walk(chain, "id", "parent", "name", "").select("id", "depth", F.length("path").alias("size"))
+    assert tree.where("depth <> id OR size <> id + 1").isEmpty() and tree.count() == n
+    assert len(rounds) <= 12
+
+
+def test_random_forest_and_missing_parents(spark):
+    rng = random.Random(8)
+    up = {k: None if k < 3 else rng.choice([rng.randrange(k), 0]) for k in range(120)}
+    rows = [(k, f"n{k}", p) for k, p in up.items()]
+
+    def path(k):
+        return ([] if up[k] is None else path(up[k])) + [f"n{k}"]
+
+    got = walk(spark.createDataFrame(rows, "id int, name string, parent int"), "id", "parent", "name", "/").collect()
+    assert {r["id"]: (r["depth"], r["path"]) for r in got} == {k: (len(path(k)) - 1, "/".join(path(k))) for k in up}
+    lost = rows + [(500, "a", 501), (502, "b", 500), (503, "c", 504), (504, "d", 505), (505, "e", 503), (506, "f", 505)]
+    with pytest.raises(ValueError, match="no root reaches 6 nodes"):
+        walk(spark.createDataFrame(lost, "id int, name string, parent int"), "id", "parent", "name")
+    assert walk(spark.createDataFrame([], "id int, name string, parent int"), "id", "parent", "name").count() == 0
+
+
+def test_distinct_counts_and_sketches(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, -5, 0, 70_000, rng.randrange(-40_000, 90_000)]), rng.choice([None, "x", "y", str(rng.random())])) for _ in range(4000)]
+    rows += [("empty", None, None)]
+    df = spark.createDataFrame(rows, "g string, n long, s string")
+    names, size = {"numbers": "n", "texts": "s"}, lambda g, k: len({r[k] for r in rows if r[k] is not None and (g is ... or r[0] == g)})
+    all_ = distinct.distinct_counts(df, names, dense=["n"])
+    assert [tuple(r) for r in all_.collect()] == [(size(..., 1), size(..., 2))]
+    assert "Expand" not in all_._jdf.queryExecution().optimizedPlan().toString()
+    per = distinct.distinct_counts(df, names, dense=["n"], by=["g"])
+    assert {r["g"]: (r["numbers"], r["texts"]) for r in per.collect()} == {g: (size(g, 1), size(g, 2)) for g in ("a", "b", None, "empty")}
+    assert [tuple(r) for r in distinct.distinct_counts(df.where("false"), names, dense=["n"]).collect()] == [(0, 0)]
+    days = spark.range(60_000).select((F.col("id") % 30).alias("day"), (F.col("id") % 20_000).alias("k"))
+    stored = distinct.sketches(days, "day", "k")
+    about = {r["half"]: r["estimate"] for r in distinct.merged(stored.withColumn("half", F.col("day") < 15), "half").collect()}
+    exact = {r["half"]: r["n"] for r in days.groupBy((F.col("day") < 15).alias("half")).agg(F.count_distinct("k").alias("n")).collect()}
+    assert all(abs(about[h] - exact[h]) <= 0.05 * exact[h] for h in exact)
+
+
 # --- functions ---------------------------------------------------------------------------
 
 
