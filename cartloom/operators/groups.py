@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartloom.session import durable
@@ -108,9 +108,11 @@ def _plain(df: DataFrame, keys: Sequence[str], order: Sequence[Order], outputs)
 
 def _pieces(hot: DataFrame, limit: int) -> int:
     """Pieces for the rows of the hot keys: none much above ``limit`` rows."""
-    total = hot.agg(F.sum("_rows")).first()[0]
-    usual = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(usual, -(-total // limit))
+    return _pieces_of(hot.sparkSession, hot.agg(F.sum("_rows")).first()[0], limit)
+
+
+def _pieces_of(spark: SparkSession, total: int, limit: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
 
 
 def _in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[Order], outputs, pieces: int) -> DataFrame:
@@ -166,7 +168,12 @@ def in_order(
     hot_rows: int | None = None,
     hot=ASK,
 ) -> DataFrame:
-    """Add ordered-window columns per key.  ``order`` must end in a unique column."""
+    """Add ordered-window columns per key.  ``order`` must end in a unique column.
+
+    Without keys all rows are one group, which is always solved in pieces.
+    """
+    if not keys:
+        return _in_pieces(df, keys, order, outputs, _pieces_of(df.sparkSession, df.count(), hot_rows or HOT_ROWS))
     if hot is ASK:
         hot = find_hot(df, keys, hot_rows)
     if hot is None:
@@ -185,8 +192,9 @@ def ranked(
     hot_rows: int | None = None,
     hot=ASK,
 ) -> DataFrame:
-    """Rank with gaps and without, ties sharing a rank."""
-    if hot is ASK:
+    """Rank with gaps and without, ties sharing a rank.  Without keys distinct values
+    are counted and placed in pieces, whatever their number."""
+    if keys and hot is ASK:
         hot = find_hot(df, keys, hot_rows)
     w = Window.partitionBy(*keys).orderBy(by.column())
 
@@ -195,7 +203,7 @@ def ranked(
             {rank: F.rank().over(w).cast("bigint"), dense: F.dense_rank().over(w).cast("bigint")}
         )
 
-    if hot is None:
+    if keys and hot is None:
         return direct(df)
     cold, heavy = _split_hot(df, keys, hot)
     # Rank of a value = rows before its first row; counted on distinct values, so
@@ -204,8 +212,7 @@ def ranked(
     values = in_order(values, keys, [by], [Position(dense), Running("_upto", "_n")], hot_rows)
     values = durable(values.withColumn(rank, F.col("_upto") - F.col("_n") + 1))
     on = [*keys, by.name]
-    placed = heavy.alias("r").join(values.alias("v"), _same("r", "v", on), "left")
-    placed = placed.select("r.*", f"v.{rank}", f"v.{dense}")
+    placed = attach(heavy, values, on, "_n", df.columns, hot_rows).select(*df.columns, rank, dense)
     return placed if cold is None else direct(cold).unionByName(placed)
 
 
@@ -219,9 +226,9 @@ def tiles(
     hot=ASK,
 ) -> DataFrame:
     """Cut each group into ``n`` nearly equal tiles, larger tiles first."""
-    if hot is ASK:
+    if keys and hot is ASK:
         hot = find_hot(df, keys, hot_rows)
-    if hot is None:
+    if keys and hot is None:
         w = Window.partitionBy(*keys).orderBy(*[o.column() for o in order])
         return df.withColumn(out, F.ntile(n).over(w).cast("bigint"))
     placed = in_order(df, keys, order, [Position("_pos")], hot_rows, hot)

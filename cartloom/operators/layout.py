@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartloom.operators.groups import Neighbour, Order, Running, in_order
+
 # Bytes of input that one file of a rewrite takes.
 FILE_BYTES = 128 << 20
 
@@ -25,48 +27,53 @@ def file_ranges(df: DataFrame, column: str, unit: Column | None = None) -> DataF
     )
 
 
-def _number(c: str, df: DataFrame) -> Column:
+def _number(c: str, df: DataFrame, at: str) -> Column:
+    """Column ``at``, of the kind of the column ``c`` of ``df``, as a number."""
     kind = dict(df.dtypes)[c]
     if kind.startswith("timestamp"):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+        return F.unix_micros(F.col(at).cast("timestamp")).cast("double")
     if kind == "date":
-        return F.unix_date(c).cast("double")
-    return F.col(c).cast("double")
+        return F.unix_date(at).cast("double")
+    return F.col(at).cast("double")
 
 
-def clustering_report(df: DataFrame, column: str, unit: Column | None = None) -> DataFrame:
-    """One row: files, mean overlaps (other files whose range meets a file's own)
-    and mean depth (files covering a value, averaged over the covered range).
+def clustering_report(df: DataFrame, columns: str | Sequence[str], unit: Column | None = None) -> DataFrame:
+    """One row per column: files, mean overlaps (other files whose range meets a file's
+    own) and mean depth (files covering a value, averaged over the covered range).
 
-    A sweep over the ends of the ranges: two rows per file, whatever the table's
-    size, which is what the one ordered window below sees.
+    One scan takes the ranges of all columns. A sweep over their ends, two rows per file
+    and column, counts the files open at each: the ends are cut into pieces by column
+    and value, and what is open at a cut is carried on from one summary row per piece, so
+    no task sees all files. Files without a value of a column have no range there.
     """
-    r = file_ranges(df, column, unit)
-    r = r.select("file", _number("lo", r).alias("lo"), _number("hi", r).alias("hi"))
-    ends = r.select("file", F.inline(F.array(
-        F.struct(F.col("lo").alias("at"), F.lit(0).alias("closing")),
-        F.struct(F.col("hi").alias("at"), F.lit(1).alias("closing")),
-    )))
-    sweep = Window.orderBy("at", "closing", "file").rowsBetween(Window.unboundedPreceding, 0)
-    opened, closed = F.sum(1 - F.col("closing")).over(sweep), F.sum("closing").over(sweep)
-    after = F.lead("at").over(Window.orderBy("at", "closing", "file")) - F.col("at")
-    e = ends.withColumns({"opened": opened, "closed": closed, "width": F.coalesce(after, F.lit(0.0))})
-    e = e.withColumn("cover", F.col("opened") - F.col("closed"))
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    unit = F.col("_metadata.file_path") if unit is None else unit
+    number = lambda end, c: _number(c, df, end)
+    ranges = df.groupBy(unit.alias("file")).agg(*[end(c).alias(f"{label}{k}") for k, c in enumerate(columns) for label, end in (("lo", F.min), ("hi", F.max))])
+    end = lambda c, k, label, closing: F.struct(F.lit(c).alias("column"), number(f"{label}{k}", c).alias("at"), F.lit(closing).alias("closing"))
+    ends = F.array(*[end(c, k, *x) for k, c in enumerate(columns) for x in (("lo", 0), ("hi", 1))])
+    ends = ranges.select("file", F.inline(ends)).where(F.col("at").isNotNull()).withColumn("opening", 1 - F.col("closing"))
+    sweep = [Order("column"), Order("at"), Order("closing"), Order("file")]
+    e = in_order(ends, [], sweep, [Running("opened", "opening"), Running("closed", "closing"), Neighbour("next", "at", 1), Neighbour("of_next", "column", 1)])
+    # running counts go on from column to column; all files of a column close in it
+    cover = F.col("opened") - F.col("closed")
+    width = F.when(F.col("of_next") == F.col("column"), F.col("next") - F.col("at")).otherwise(0.0)
+    e = e.withColumns({"cover": cover, "width": width})
 
     # Files that end before this one starts, and files that started by its end.
     ended_before = F.max(F.when(F.col("closing") == 0, F.col("closed")))
     started_by = F.max(F.when(F.col("closing") == 1, F.col("opened")))
-    per_file = e.groupBy("file").agg((started_by - ended_before - 1).alias("overlaps"))
     covered = F.sum(F.when(F.col("cover") > 0, F.col("width")))
-    depth = e.agg(
-        F.when(covered > 0, F.sum(F.col("cover") * F.col("width")) / covered)
-        .otherwise(F.max("opened").cast("double")).alias("depth")
+    per_file = e.groupBy("column", "file").agg(
+        (started_by - ended_before - 1).alias("overlaps"), covered.alias("covered"), F.sum(F.col("cover") * F.col("width")).alias("area")
     )
-    return per_file.agg(
-        F.lit(column).alias("column"),
-        F.count(F.lit(1)).alias("files"),
+    files, area = F.count(F.lit(1)), F.sum("covered")
+    return per_file.groupBy("column").agg(
+        files.alias("files"),
         F.round(F.avg("overlaps"), 4).alias("avg_overlaps"),
-    ).withColumn("avg_depth", F.round(depth.scalar(), 4))
+        # ranges that are all one and the same value lie on top of each other
+        F.round(F.when(area > 0, F.sum("area") / area).otherwise(files.cast("double")), 4).alias("avg_depth"),
+    )
 
 
 def pruning_report(df: DataFrame, column: str, low, high, unit: Column | None = None) -> DataFrame:

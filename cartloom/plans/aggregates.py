@@ -14,7 +14,7 @@ from cartloom.functions.udfs import custom_aggregate
 from cartloom.operators import quality
 from cartloom.operators.borders import tiles_of_all
 from cartloom.operators.distinct import distinct_counts, merged, sketches
-from cartloom.operators.groups import Order, attach, find_hot, ranked
+from cartloom.operators.groups import Order, attach, ranked
 from cartloom.operators.hierarchy import walk
 from cartloom.plans import oracle as q
 from cartloom.plans.joins import per_order_totals, supplier_ratings, ts
@@ -432,9 +432,8 @@ def supplier_scorecard(m):
     )
     s = sales.join(supplier_ratings(m), "supplier_id", "left").fillna(0.0, ["avg_rating"])
     s = durable(s)
-    hot = find_hot(s, [])
     for by, out in ((Order("revenue", True), "revenue_rank"), (Order("refund_pct"), "refund_rank"), (Order("avg_rating", True), "rating_rank")):
-        s = ranked(s, [], by, out, "_dense", hot=hot).drop("_dense")
+        s = ranked(s, [], by, out, "_dense").drop("_dense")
     others = s.agg(rows() - 1).scalar()
     ranks = F.col("revenue_rank") + F.col("refund_rank") + F.col("rating_rank") - 3
     return s.withColumn("overall", F.round((ranks / (3.0 * others)).cast("decimal(38,8)"), 4).cast("double"))

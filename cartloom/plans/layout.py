@@ -57,8 +57,7 @@ REPORTED = {"created_at": "epoch_us(created_at)", "order_id": "order_id", "order
 def clustering_report(m):
     """Overlap and depth of three columns over folders cut by one of them."""
     t = by_month(m)
-    a, b, c = (layout.clustering_report(t, name, layout.folder()) for name in REPORTED)
-    return a.unionByName(b).unionByName(c)
+    return layout.clustering_report(t, list(REPORTED), layout.folder())
 
 
 @query("pruning_report", f"""SELECT 'one month' AS predicate, count(*) AS files, count(*) FILTER (hi >= TIMESTAMP '1997-03-05' AND
