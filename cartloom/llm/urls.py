@@ -19,9 +19,21 @@ RULES = [
 ]
 
 PARTS = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
-CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["'][^"'>]*?url\s*=\s*([^"'\s>]+)"""
-BASE = r"""(?is)<base\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
+#: What a browser does not read as tags: comments and the text of raw-text elements.
+UNREAD = (
+    r"(?is)<!--(?:-?>|.*?--!?>|.*\z)|<script\b[^>]*>.*?(?:</script[^>]*>|\z)|<style\b[^>]*>.*?(?:</style[^>]*>|\z)"
+    r"|<textarea\b[^>]*>.*?(?:</textarea[^>]*>|\z)|<title\b[^>]*>.*?(?:</title[^>]*>|\z)"
+)
+TAGS = r"(?is)<((?:link|meta|base)[\s/][^>]*)>"
+ATTRIBUTE = r"""(?s)([^\s"'>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))"""
+#: A refresh with a target: a delay and a separator, or the word url.
+TARGETED = r"(?is)\A\s*(?:[0-9][0-9.]*[\s;,]|[\s;,]*url\s*=)"
+DELAY = r"(?is)\A\s*[0-9.]*[\s;,]*"
+WORD = r"(?is)\Aurl\s*=\s*"
+QUOTED = r"""(?s)\A(?:"([^"]*)|'([^']*)|([^"'].*))"""
+REFERENCE = r"(?s)(&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z]+;|[^&]+|&)"
+#: Character references by name that have a place in urls.
+NAMED = {"&amp;": "&", "&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">"}
 #: Scheme, user and host of a url.
 SITE = r"(?s)\A([A-Za-z][A-Za-z0-9+.\-]*://)([^/?#]*@)?([^/?#]*)"
 
@@ -88,20 +100,70 @@ def resolve(target: Column, base: Column) -> Column:
     return _bound(F.named_struct(F.lit("site"), site, F.lit("path"), path, F.lit("query"), query, F.lit("to"), target), below)
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of the first attribute ``name`` of a tag, quotes taken off; empty without one."""
+    own = F.filter(
+        F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 1), lambda a: F.lower(F.regexp_extract(a, r"\A[^\s=]+", 0)) == name
+    )
+    value = F.regexp_replace(F.get(own, F.lit(0)), r"(?s)\A[^\s=]+\s*=\s*", "")
+    bare = F.when(value.rlike(r"""(?s)\A["']"""), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+    return F.coalesce(bare, F.lit(""))
+
+
+def _referred(part: Column) -> Column:
+    """One character reference, decoded; other text as it is."""
+    digits = F.regexp_extract(part, r"\A&#0*([0-9]{1,7});?\z", 1)
+    hexed = F.regexp_extract(part, r"\A&#[xX]0*([0-9A-Fa-f]{1,6});?\z", 1)
+    code = F.coalesce(
+        F.when(digits != "", digits.try_cast("long")), F.when(hexed != "", F.conv(hexed, 16, 10).try_cast("long"))
+    )
+    known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    wide = F.decode(F.unhex(F.lpad(F.hex(F.when(known, code)), 8, "0")), "UTF-32")
+    named = F.element_at(F.create_map(*[F.lit(v) for pair in NAMED.items() for v in pair]), F.lower(part))
+    return F.coalesce(F.when(part.startswith("&#"), wide).otherwise(named), part)
+
+
+def unescaped(text: Column) -> Column:
+    """``text`` with numeric character references and those of ``NAMED`` decoded, each once.
+
+    A number that is no character stays as written, as does any other name.
+    """
+    parts = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), 1), _referred)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
+
+
+def _target(tag: Column) -> Column:
+    """Where a canonical link or a refresh leads, as written; empty for other tags."""
+    tokens = F.split(F.lower(unescaped(_attribute(tag, "rel"))), r"\s+")
+    canonical = tag.rlike(r"(?i)\Alink\b") & F.array_contains(tokens, "canonical")
+    refresh = tag.rlike(r"(?i)\Ameta\b") & (F.lower(F.trim(_attribute(tag, "http-equiv"))) == "refresh")
+    content = unescaped(_attribute(tag, "content"))
+    said = F.regexp_replace(F.regexp_replace(content, DELAY, ""), WORD, "")
+    led = F.when(content.rlike(TARGETED), F.concat(*[F.regexp_extract(said, QUOTED, k) for k in (1, 2, 3)]))
+    out = F.when(canonical, unescaped(_attribute(tag, "href"))).when(refresh, led)
+    return F.regexp_replace(F.coalesce(out, F.lit("")), r"\A\s+|\s+\z", "")
+
+
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Columns ``a, b``: a page's resource and the target of its canonical or refresh link.
 
-    References are resolved against the page's base element, else its url; those that
-    name no host are not edges. Character references for & are decoded.
+    Tags inside comments, scripts, styles, titles and text areas are not read. ``rel`` is a
+    list of words; the target of a refresh may stand in quotes of its own; character
+    references are decoded. References are resolved against the page's first base element
+    with a target, else its url; those that name no host are not edges. A NULL page or url
+    gives none.
     """
-    found = F.concat(F.regexp_extract_all(html, F.lit(CANONICAL), 1), F.regexp_extract_all(html, F.lit(REFRESH), 1))
     linked = F.col(html).rlike(r"(?i)canonical|http-equiv") & F.col(url).isNotNull()
-    decoded = lambda text: F.replace(text, F.lit("&amp;"), F.lit("&"))
-    own = decoded(F.regexp_extract(html, BASE, 1))
-    base = _bound(own, lambda b: F.coalesce(F.when(b != "", resolve(b, F.col(url))), F.col(url)))
-    targets = pages.where(linked).select(F.col(url).alias("_from"), base.alias("_base"), F.explode(found).alias("_to"))
-    to = _bound(resolve(decoded(F.col("_to")), F.col("_base")), resource)
-    return targets.select(resource(F.col("_from")).alias("a"), to.alias("b")).where("b IS NOT NULL")
+    read = F.regexp_replace(F.col(html), UNREAD, " ")
+    pages = pages.where(linked).select(F.col(url).alias("_from"), F.regexp_extract_all(read, F.lit(TAGS), 1).alias("_tags"))
+    bases = F.filter("_tags", lambda t: t.rlike(r"(?i)\Abase\b"))
+    bases = F.filter(F.transform(bases, lambda t: unescaped(_attribute(t, "href"))), lambda b: b != "")
+    own = F.coalesce(F.get(bases, F.lit(0)), F.lit(""))
+    base = _bound(own, lambda b: F.coalesce(F.when(b != "", resolve(b, F.col("_from"))), F.col("_from")))
+    targets = F.filter(F.transform("_tags", _target), lambda t: t != "")
+    found = pages.select("_from", base.alias("_base"), F.explode(targets).alias("_to"))
+    to = _bound(resolve(F.col("_to"), F.col("_base")), resource)
+    return found.select(resource(F.col("_from")).alias("a"), to.alias("b")).where("b IS NOT NULL")
 
 
 def _decide(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -165,20 +227,86 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]] = RULES) -
 
 _RULES = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in RULES)
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _attribute_sql(tag: str, name: str) -> str:
+    own = f"list_filter(regexp_extract_all({tag}, {_lit(ATTRIBUTE)}, 1), lambda a: lower(regexp_extract(a, '\\A[^\\s=]+', 0)) = '{name}')[1]"
+    value = f"regexp_replace({own}, '(?s)\\A[^\\s=]+\\s*=\\s*', '')"
+    return f"coalesce(CASE WHEN left({value}, 1) IN ('''', '\"') THEN substr({value}, 2, length({value}) - 2) ELSE {value} END, '')"
+
+
+def _unescaped_sql(text: str) -> str:
+    number = "regexp_extract(p, '\\A&#0*([0-9]{1,7});?\\z', 1)"
+    hexed = "regexp_extract(p, '\\A&#[xX]0*([0-9A-Fa-f]{1,6});?\\z', 1)"
+    code = f"coalesce(TRY_CAST(nullif({number}, '') AS BIGINT), TRY_CAST('0x' || nullif({hexed}, '') AS BIGINT))"
+    valid = f"({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111)"
+    named = " ".join(f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in NAMED.items())
+    one = f"CASE WHEN starts_with(p, '&#') THEN CASE WHEN {valid} THEN chr(CAST({code} AS INTEGER)) ELSE p END ELSE CASE lower(p) {named} ELSE p END END"
+    return f"array_to_string(list_transform(regexp_extract_all({text}, {_lit(REFERENCE)}, 1), lambda p: {one}), '')"
+
+
+_PATH = r"(?s)\A[^?]*"
+_SITE = r"(?s)\A[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*"
+
+
+def _resource_sql(url: str) -> str:
+    return f"lower(regexp_extract({url}, '\\A[A-Za-z][A-Za-z0-9+.\\-]*://', 0)) || " + (
+        f"regexp_extract({url}, {_lit(SITE)}, 2) || translate(regexp_extract({url}, {_lit(SITE)}, 3), "
+        f"'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || "
+        f"substr(split_part({url}, '#', 1), length(regexp_extract({url}, {_lit(SITE)}, 0)) + 1)"
+    )
+
+
+def _resolve_sql(source: str, target: str, base: str, out: str) -> str:
+    """Rows of ``source`` with ``out``: ``target`` as seen from ``base``, by the steps of ``resolve``."""
+    step = "CASE WHEN s[1] = '..' THEN kept[1:len(kept) - 1] WHEN s[1] = '.' THEN kept ELSE list_concat(kept, s) END"
+    segments = r"string_split(regexp_extract(_long, '(?s)\A[^?#]*', 0), '/')[2:]"
+    kept = f"list_reduce(list_concat([CAST([] AS VARCHAR[])], list_transform({segments}, lambda x: [x])), lambda kept, s: {step})"
+    return rf"""(SELECT * EXCLUDE (_site, _path, _query, _long, _kept), CASE
+    WHEN regexp_matches({target}, '\A[A-Za-z][A-Za-z0-9+.\-]*:') THEN CASE WHEN contains({target}, '://') THEN {target} END
+    WHEN _site = '' THEN NULL
+    WHEN starts_with({target}, '//') THEN split_part(_site, '//', 1) || {target}
+    WHEN starts_with({target}, '?') THEN _site || _path || {target}
+    WHEN starts_with({target}, '#') THEN _site || _path || _query
+    ELSE _site || '/' || array_to_string(_kept, '/') || CASE WHEN len(_kept) > 0 AND
+      regexp_matches(regexp_extract(_long, '(?s)\A[^?#]*', 0), '/\.\.?\z') THEN '/' ELSE '' END ||
+      regexp_extract(_long, '(?s)\A[^?#]*(.*)', 1) END AS {out}
+  FROM (SELECT *, {kept} AS _kept FROM (SELECT *, CASE WHEN starts_with({target}, '/') THEN {target} WHEN _path = '' THEN '/' || {target}
+      ELSE regexp_extract(_path, '(?s)\A(.*/)', 1) || {target} END AS _long
+    FROM (SELECT *, regexp_extract({base}, '{_SITE}', 0) AS _site,
+        regexp_extract(substr(split_part({base}, '#', 1), length(regexp_extract({base}, '{_SITE}', 0)) + 1), '{_PATH}', 0) AS _path,
+        regexp_extract(split_part({base}, '#', 1), '(?s)\A[^?]*(.*)', 1) AS _query FROM {source}))))"""
+
+
+_ATTRIBUTES = ", ".join(
+    f"{_attribute_sql('tag', name)} AS {column}"
+    for name, column in (("rel", "rel"), ("href", "href"), ("http-equiv", "equiv"), ("content", "content"))
+)
+_SAID = f"regexp_replace(regexp_replace(said, {_lit(DELAY)}, ''), {_lit(WORD)}, '')"
+_LED = " || ".join(f"regexp_extract({_SAID}, {_lit(QUOTED)}, {k})" for k in (1, 2, 3))
+
 SQL = rf"""
 WITH RECURSIVE rules(host, path, action) AS (VALUES {_RULES}),
 pages_in AS (SELECT page_id, url, html, row_number() OVER () AS row_id FROM pages),
-links AS (
-  SELECT split_part(url, '#', 1) AS a, split_part(replace(target, '&amp;', '&'), '#', 1) AS b FROM (
-    SELECT url, unnest(list_concat(
-      regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-      regexp_extract_all(html, '(?is)<link\b[^>]*\bhref\s*=\s*["'']?([^"''\s>]+)[^>]*\brel\s*=\s*["'']?canonical\b', 1),
-      regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*\bcontent\s*=\s*["''][^"''>]*?url\s*=\s*([^"''\s>]+)', 1))) AS target
-    FROM pages_in WHERE url IS NOT NULL) WHERE contains(target, '://')),
+tags AS (SELECT row_id, url, unnest(tags) AS tag, generate_subscripts(tags, 1) AS place FROM (
+  SELECT row_id, url, regexp_extract_all(regexp_replace(html, {_lit(UNREAD)}, ' ', 'g'), {_lit(TAGS)}, 1) AS tags FROM pages_in
+  WHERE url IS NOT NULL AND regexp_matches(html, '(?i)canonical|http-equiv'))),
+attributes AS (SELECT row_id, url, place, lower(regexp_extract(tag, '\A[A-Za-z]+', 0)) AS kind, rel, {_unescaped_sql('href')} AS href,
+  equiv, {_unescaped_sql('content')} AS said FROM (SELECT *, {_ATTRIBUTES} FROM tags)),
+bases AS (SELECT row_id, url, arg_min(href, place) AS own FROM attributes WHERE kind = 'base' AND href <> '' GROUP BY ALL),
+based AS (SELECT row_id, coalesce(base, url) AS base FROM {_resolve_sql('bases', 'own', 'url', 'base')}),
+targets AS (SELECT t.url, coalesce(b.base, t.url) AS base, t.target FROM (
+  SELECT row_id, url, regexp_replace(CASE
+    WHEN kind = 'link' AND list_contains(regexp_split_to_array(lower({_unescaped_sql('rel')}), '\s+'), 'canonical') THEN href
+    WHEN kind = 'meta' AND lower(trim(equiv)) = 'refresh' AND regexp_matches(said, {_lit(TARGETED)}) THEN {_LED}
+    ELSE '' END, '\A\s+|\s+\z', '', 'g') AS target FROM attributes) t LEFT JOIN based b USING (row_id) WHERE t.target <> ''),
+links AS (SELECT {_resource_sql('url')} AS a, {_resource_sql('b')} AS b FROM {_resolve_sql('targets', 'target', 'base', 'b')} WHERE b IS NOT NULL),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(node, other) AS (SELECT a, b FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a),
 urls AS (
-  SELECT row_id, page_id, split_part(url, '#', 1) AS node, url FROM pages_in
+  SELECT row_id, page_id, {_resource_sql('url')} AS node, url FROM pages_in
   UNION ALL SELECT NULL, NULL, a, a FROM (SELECT DISTINCT a FROM edges)),
 parts AS (
   SELECT row_id, page_id, node,

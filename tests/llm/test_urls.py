@@ -1,7 +1,34 @@
 """URL filter: rules and decisions that links hand on."""
 
+import duckdb
+
 from cartloom.llm import urls
 
+BAD = "http://x.net/fr/bad"
+CASES = [
+    (f'<!-- <link rel="canonical" href="{BAD}"> -->', None),
+    (f'<!--><link rel="canonical" href="{BAD}">', BAD),
+    (f'<!-- never closed <link rel="canonical" href="{BAD}">', None),
+    (f'<script>var x = \'<link rel="canonical" href="{BAD}">\';</script><p>', None),
+    (f'<title><link rel="canonical" href="{BAD}"></title><link rel="canonical" href="/ok">', "http://free.org/ok"),
+    (f'<link rel="shortlink canonical" href="{BAD}">', BAD),
+    (f'<link title="rel=canonical" rel=icon href="{BAD}">', None),
+    (f'<link data-rel="canonical" href="{BAD}">', None),
+    (f'<LINK HREF={BAD} REL=Canonical>', BAD),
+    (f'<link rel="canonical" data-href="/no" href=" {BAD} " />', BAD),
+    ('<link rel="canonical" href="/fr/&#121;&#x79;&amp;z&eacute;">', "http://free.org/fr/yy&z&eacute;"),
+    ('<link rel="canonical" href="/&#233;&#x1F600;&#xD800;&#9999999;">', "http://free.org/é\U0001f600&"),
+    (f'<meta http-equiv="refresh" content="0; url=\'{BAD}\'">', BAD),
+    (f"<meta http-equiv='refresh' content='0;URL=\"{BAD}\"'>", BAD),
+    (f'<meta content="5, {BAD}" http-equiv="Refresh">', BAD),
+    (f'<meta http-equiv="refresh" content="0;url=&#39;{BAD}&#39;">', BAD),
+    ('<meta http-equiv="refresh" content="30">', None),
+    ('<meta http-equiv="refresh" content="0;url=">', None),
+    (f'<meta name="description" content="0;url={BAD}">http-equiv', None),
+    (f'<base href=""><base href="//x.net/fr/q"><base href="/no/"><link rel="canonical" href="bad">', BAD),
+    ('<linked rel="canonical" href="/x">', None),
+]
+
 
 def test_rules_and_links(spark):
     link = '<link href="{}" rel=canonical>'
@@ -49,3 +76,30 @@ def test_relative_links_hand_on_blocks(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     out = urls.judge(pages, urls.rule_table(spark), urls.link_edges(pages))
     assert sorted((r.page_id, r.verdict) for r in out.collect()) == [(1, "block"), (2, "block"), (3, "block"), (4, "allow")]
+
+
+def test_what_counts_as_a_link(spark):
+    rows = [(i, f"http://free.org/p{i}", html) for i, (html, _) in enumerate(CASES)]
+    pages = spark.createDataFrame([*rows, (-1, None, CASES[5][0]), (-2, "http://free.org/n", None)], "page_id long, url string, html string")
+    got = {r.a: r.b for r in urls.link_edges(pages).collect()}
+    assert got == {f"http://free.org/p{i}": to for i, (_, to) in enumerate(CASES) if to is not None}
+
+
+def test_sql_follows_the_same_links(spark):
+    """Planted pages through the query and its SQL: every case, relative targets, letter case, chains."""
+    link = '<link rel="canonical" href="{}">'
+    more = [
+        "/fr/1", "../fr/./2?q=1", "//x.net/fr/bad", "?p=/fr/", "#top", "/es/..", "/r?to=http://x.net/fr/1", "fr/3", "mailto:a@b.c", "HTTP://X.NET/es/1", "..", ".", "a/../../fr/", "http://free.org/p5",
+    ]
+    hosts = ["http://free.org/p{}", "HTTP://U@A.Example.ORG/x/y{}?z#k", "http://net{}.net", "http://b.net/{}/", "http://net/fr{}", "none/{}"]
+    rows = [(f"http://free.org/p{i}", html) for i, (html, _) in enumerate(CASES)]
+    rows += [(host.format(i), link.format(to)) for i, to in enumerate(more) for host in hosts]
+    rows += [("http://a.example.org/x/y3?z", ""), ("http://u@a.example.org/x/y3?z", ""), (None, link.format(BAD)), ("http://x.com/es/", None), rows[5], rows[5]]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    out = urls.judge(pages, urls.rule_table(spark), urls.link_edges(pages))
+    table = pages.toPandas()
+    db = duckdb.connect()
+    db.register("pages", table)
+    want = sorted(db.execute(f"SELECT page_id, host, path, rule, verdict FROM ({urls.SQL})").fetchall())
+    assert sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in out.collect()) == want
+    assert sum(w[3] is None and w[4] == "block" for w in want) > 20
