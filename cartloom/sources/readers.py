@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartloom.sources import arrays
+
 # Texts that mean NULL in a delimited file.
 NULL_TOKENS = ["NULL", "null", "NA", "N/A", "n/a", ""]
 
@@ -87,10 +89,13 @@ def csv_positional(spark: SparkSession, path: str, columns: Mapping[int, tuple[s
 
 
 def json_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """Files that each hold one JSON array: one VARIANT per element."""
-    whole = spark.read.option("multiLine", True).option("singleVariantColumn", "doc").json(path)
+    """Files that each hold one JSON array: one VARIANT per element, a large file read by
+    many tasks. Compressed files cannot be cut; each of them is one task."""
+    plain = arrays.element_texts(spark, path).select(F.parse_json("value").alias("doc"))
+    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.{" + ",".join(arrays.COMPRESSED) + "}")
+    whole = reader.option("singleVariantColumn", "doc").json(path)
     elements = F.explode_outer(F.variant_get("doc", "$", "array<variant>"))
-    return whole.select(elements.alias("doc")).filter(F.col("doc").isNotNull())
+    return plain.unionByName(whole.select(elements.alias("doc")).filter(F.col("doc").isNotNull()))
 
 
 def json_lines(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
