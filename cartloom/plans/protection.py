@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartloom.functions import udfs
+from cartloom.functions import history, udfs
 from cartloom.functions.scalar import mean, money, month, rows
 from cartloom.operators import protect
 from cartloom.plans import oracle as q
@@ -159,10 +159,16 @@ def date_spine(m):
     return days.join(per_day, "day", "left").fillna(0, ["orders", "revenue"])
 
 
-@query("udtf_monthly_history", f"""SELECT customer_id, {q.month('created_at')} AS order_month, count(*) AS orders,
-  {q.money('order_total')} AS spent FROM ord GROUP BY ALL""")
+@query("udtf_monthly_history", f"""WITH per AS (SELECT customer_id, {q.month('created_at')} AS order_month, count(*) AS orders,
+  {q.money('order_total')} AS spent FROM ord GROUP BY ALL), span AS (SELECT customer_id, CAST(unnest(generate_series(min(order_month),
+  max(order_month), INTERVAL 1 MONTH)) AS TIMESTAMP) AS order_month FROM per GROUP BY customer_id), filled AS (SELECT customer_id, order_month,
+  coalesce(orders, 0) AS orders, coalesce(spent, 0) AS spent, count(*) FILTER (WHERE orders IS NULL) OVER (PARTITION BY customer_id
+  ORDER BY order_month) AS gaps FROM span LEFT JOIN per USING (customer_id, order_month))
+  SELECT customer_id, order_month, orders, spent, CAST(CASE WHEN orders = 0 THEN 0 ELSE count(*) FILTER (WHERE orders > 0) OVER
+  (PARTITION BY customer_id, gaps ORDER BY order_month) END AS BIGINT) AS streak FROM filled""")
 def udtf_monthly_history(m):
-    """A table function per customer: one row per month, from the customer's months.
+    """Every month from a customer's first to the last, empty ones filled, with the running
+    number of months in a row that had orders.
 
     The function receives one row per (customer, month) summed beforehand, so its
     partition is as long as the calendar and not as the customer's order list.
@@ -170,23 +176,7 @@ def udtf_monthly_history(m):
     per_month = m.orders().groupBy("customer_id", month("created_at").alias("order_month")).agg(
         rows().alias("orders"), money("order_total").alias("spent")
     )
-
-    @F.udtf(returnType="customer_id bigint, order_month timestamp_ntz, orders bigint, spent double", useArrow=True)
-    class MonthlyHistory:
-        def __init__(self):
-            self.months = []
-
-        def eval(self, row):
-            self.months.append((row["customer_id"], row["order_month"], row["orders"], row["spent"]))
-
-        def terminate(self):
-            yield from sorted(self.months, key=lambda r: r[1])
-
-    m.spark.udtf.register("monthly_history", MonthlyHistory)
-    per_month.createOrReplaceTempView("customer_months")
-    return m.spark.sql(
-        "SELECT * FROM monthly_history(TABLE(customer_months) PARTITION BY customer_id)"
-    )
+    return history.monthly_history(per_month, "customer_id", "order_month", "orders")
 
 
 @query("udf_vectorized", """SELECT order_id, product_id, CAST(line_no AS BIGINT) AS line_no, discount, CASE WHEN discount >= 0.3
