@@ -112,6 +112,29 @@ def stream_windowed_alert(m):
     return m.spark.read.parquet(fired)
 
 
+@query("stream_alert_spells", """WITH bad AS (SELECT device, created_at FROM click WHERE event_type = 'error'), mark AS (SELECT
+  max(created_at) - INTERVAL 10 MINUTE AS w FROM bad), closed AS (SELECT device, created_at, created_at - lag(created_at) OVER (PARTITION
+  BY device ORDER BY created_at) > INTERVAL 2 MINUTE AS cut FROM bad, mark WHERE time_bucket(INTERVAL 2 MINUTE, created_at) +
+  INTERVAL 2 MINUTE <= w), numbered AS (SELECT device, created_at, count(*) FILTER (WHERE cut) OVER (PARTITION BY device ORDER BY
+  created_at) AS n FROM closed), spell AS (SELECT device, n, min(created_at) AS started, max(created_at) AS seen, count(*) AS rejected,
+  lead(n) OVER (PARTITION BY device ORDER BY n) IS NOT NULL AS followed FROM numbered GROUP BY device, n)
+  SELECT device, 'fired' AS state, started AS at, CAST(NULL AS BIGINT) AS rejected FROM spell UNION ALL
+  SELECT device, 'cleared', seen + INTERVAL 2 MINUTE, rejected FROM spell, mark WHERE followed OR seen + INTERVAL 4 MINUTE < w""")
+def stream_alert_spells(m):
+    """Per device: an alert fires once when error events begin and is cleared two minutes
+    after the last one. The stream is let go on in two runs over a growing folder."""
+    inbox, fired, mark = paths(m, "inbox", "spells", "mark")
+    c = m.clicks().select("created_at", "event_type", "device")
+    middle = c.agg(F.expr("timestampadd(MICROSECOND, timestampdiff(MICROSECOND, min(created_at), max(created_at)) div 2, min(created_at))")).scalar()
+    for part in (c.filter(F.col("created_at") < middle), c.filter(F.col("created_at") >= middle)):
+        part.write.mode("append").parquet(inbox)
+        bad = ingest.arriving(m.spark, inbox, c.schema).filter(F.col("event_type") == "error")
+        stream = alerts.spells(alerts.stamped(bad, "created_at", "10 minutes"), "created_at", 120, ["device"])
+        with alerts.state_store(m.spark):
+            ingest.append_to(stream, fired, mark)
+    return m.spark.read.parquet(fired).withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
 @query("refresh_parity", """SELECT (SELECT count(*) FROM ord) AS rows_recomputed,
   (SELECT count(*) FROM ord) AS rows_merged, (SELECT count(*) FROM ord) AS rows_streamed, CAST(0 AS BIGINT) AS differences""")
 def refresh_parity(m):

@@ -167,3 +167,54 @@ def test_split_stream(spark, tmp_path):
         cdc.split_stream(ingest.arriving(spark, inbox, DDL), rules, good, bad, mark)
     assert rows_of(spark.read.parquet(good), "id") == [(1,)]
     assert rows_of(spark.read.parquet(bad), "id", "reason") == [(2, "no value"), (3, "no value")]
+
+
+def looped(rows, gap, lateness):
+    """Alerts over all rows by a plain loop, closed slices only."""
+    start = datetime.datetime(2024, 1, 1)
+    mark = max(at for _, at in rows) - lateness
+    events = []
+    for key in {k for k, _ in rows}:
+        spell = None
+        for at in sorted(at for k, at in rows if k == key):
+            if start + ((at - start) // gap + 1) * gap > mark:
+                break
+            if spell and at - spell[1] > gap:
+                events.append((key, "cleared", spell[1] + gap, spell[2]))
+                spell = None
+            if spell is None:
+                events.append((key, "fired", at, None))
+            spell = (spell[0], at, spell[2] + 1) if spell else (at, at, 1)
+        if spell and spell[1] + 2 * gap < mark:
+            events.append((key, "cleared", spell[1] + gap, spell[2]))
+    return sorted(events, key=repr)
+
+
+def test_alerts_fire_once_a_spell(spark, tmp_path):
+    """Rows out of order and repeated within the lateness, long quiet spells, a NULL key, runs without rows."""
+    import random
+
+    r = random.Random(5)
+    start, minute = datetime.datetime(2024, 1, 1), datetime.timedelta(minutes=1)
+    inbox, out, mark = (f"{tmp_path}/{x}" for x in "abc")
+    rows, offset = [], 0.0
+    for run in range(4):
+        new = []
+        for _ in range(40):
+            offset += r.choice([0, 0.2, 0.5, 1, 2, 2.05, 3, 45])
+            late = r.choice([0, 0, 0, 3, 8]) if run else 0
+            at = start + datetime.timedelta(seconds=round((offset - min(late, offset)) * 60, 1))
+            new += [(r.choice(["a", "b", None]), at)] * r.choice([1, 1, 2])
+        if run == 2:
+            offset += 600
+        seen = max((at for _, at in rows), default=start)
+        new = [(k, at) for k, at in new if not rows or at > seen - 9 * minute]  # within the lateness of 10 minutes
+        put(spark, inbox, new, "key string, at timestamp_ntz")
+        rows += new
+        for _ in range(2):  # the second run finds no new file
+            stream = alerts.stamped(ingest.arriving(spark, inbox, "key string, at timestamp_ntz"), "at", "10 minutes")
+            with alerts.state_store(spark):
+                ingest.append_to(alerts.spells(stream, "at", 120, ["key"]), out, mark)
+        got = [(e["key"], e["state"], e["at"], e["rejected"]) for e in spark.read.parquet(out).withColumn("at", F.col("at").cast("timestamp_ntz")).collect()]
+        assert sorted(got, key=repr) == looped(rows, 2 * minute, 10 * minute)
+    assert alerts.STORE not in str(spark.conf.get(alerts.STORE, "")) and len(got) > 20
