@@ -46,11 +46,24 @@ def csv_dialects(m):
     return readers.csv_typed(m.spark, orders_csv(m, "pipe", "|"), ORDER_DDL, CsvFormat(sep="|"))
 
 
+@query("csv_charset_crlf", """SELECT order_id, customer_id, order_status, CASE WHEN order_status <> 'placed' THEN order_total END
+  AS order_total, created_at, 'Exprès ' || shipping_method AS shipping_method FROM ord""")
+def csv_charset_crlf(m):
+    """Latin-1 text with CRLF line ends and quoted fields."""
+    path = scratch(m.spark, "latin")
+    text = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")
+    o = m.orders(deal=True).withColumns({"created_at": text, "shipping_method": F.concat(F.lit("Exprès "), "shipping_method")})
+    o = o.withColumn("order_total", F.when(F.col("order_status") != "placed", F.col("order_total")))
+    fmt = CsvFormat(sep=";", encoding="ISO-8859-1", line_sep="\r\n", timestamp_format="yyyy-MM-dd HH:mm:ss")
+    o.write.options(**fmt.options()).option("quoteAll", True).option("header", True).csv(path)
+    return readers.csv_typed(m.spark, path, ORDER_DDL, fmt)
+
+
 @query("json_array_load", "SELECT event_id, event_type, device, value FROM click")
 def json_array_load(m):
     path = scratch(m.spark, "arrays")
     c = m.clicks().select("event_id", "event_type", "device", "value")
-    writers.json_arrays(c, path, [Order("event_id")], rows_per_array=2000)
+    writers.json_arrays(c, path, [Order("event_id")], rows_per_array=100_000)
     return typed_events(readers.json_arrays(m.spark, path))
 
 
@@ -167,6 +180,33 @@ def load_on_error(m):
     return loading.load(checked_sizes(m), loading.OnError.CONTINUE)
 
 
+@query("load_abort", f"""SELECT CAST(count(*) AS BIGINT) AS rows_parsed, CAST(0 AS BIGINT) AS rows_loaded, count(*) - count(size) AS
+  error_count, 'LOAD_FAILED' AS status, true AS refused FROM {SIZES}""")
+def load_abort(m):
+    """One bad cell stops the load: nothing goes in, clean files included, and the history says so."""
+    records = checked_sizes(m)
+    refused = False
+    try:
+        loading.load(records, loading.OnError.ABORT)
+    except loading.LoadError:
+        refused = True
+    h = loading.history(records, loading.OnError.ABORT).groupBy("status")
+    sums = h.agg(*[F.sum(c).alias(c) for c in ("rows_parsed", "rows_loaded", "error_count")])
+    return sums.withColumn("refused", F.lit(refused))
+
+
+@query("load_skip_file", """SELECT product_id, CAST(size AS BIGINT) AS raw_size FROM (SELECT product_id, size, count(*) FILTER (WHERE
+  size > 25) OVER (PARTITION BY size // 10, product_id % 32) AS bad FROM prod) WHERE bad = 0""")
+def load_skip_file(m):
+    """Products in files by size: a file with one bad cell is left out whole, its good rows too."""
+    path = scratch(m.spark, "skipped")
+    decade, part = F.floor(F.col("size") / 10).alias("decade"), (F.col("product_id") % 32).alias("part")
+    sizes = raw_sizes(m, decade, part).repartition("decade", "part")  # one file a folder
+    sizes.write.partitionBy("decade", "part").option("header", True).csv(path)
+    records = loading.checked(m.spark, f"{path}/*/*", SIZE_DDL)
+    return loading.load(records, loading.OnError.SKIP_FILE)
+
+
 @query("load_history", f"""SELECT CAST(count(*) AS BIGINT) AS rows_parsed, count(size) AS rows_loaded, count(*) - count(size) AS error_count,
   'PARTIALLY_LOADED' AS status FROM {SIZES}""")
 def load_history(m):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartloom.functions.scalar import mean, money, month, pct, refunded, rows, total_of
@@ -107,13 +108,16 @@ def join_full_reconcile(m):
 
 
 @query("never_ordered", """SELECT product_id, product_name, category, unit_price FROM
-  (SELECT product_id, product_name, category, unit_price FROM prod UNION ALL SELECT -min(product_id), 'new ' || category,
-  category, min(unit_price) FROM prod GROUP BY category) WHERE product_id NOT IN (SELECT product_id FROM item)""")
+  (SELECT product_id, product_name, category, unit_price FROM prod UNION ALL SELECT
+  (SELECT max(product_id) FROM prod) + row_number() OVER (ORDER BY category), 'new ' || category, category, min(unit_price)
+  FROM prod GROUP BY category) WHERE product_id NOT IN (SELECT product_id FROM item)""")
 def never_ordered(m):
     """The catalogue and one product per category announced but not sold yet."""
     sold = m.items().select("product_id").distinct()
     p = m.products().select("product_id", "product_name", "category", "unit_price")
-    announced = p.groupBy("category").agg((-F.min("product_id")).alias("product_id"), F.min("unit_price").alias("unit_price"))
+    announced = p.groupBy("category").agg(F.min("unit_price").alias("unit_price"), F.max("product_id").alias("_last"))
+    rank, last = F.row_number().over(Window.orderBy("category")), F.max("_last").over(Window.partitionBy())  # a row a category
+    announced = announced.withColumn("product_id", last + rank).drop("_last")
     p = p.unionByName(announced.withColumn("product_name", F.concat(F.lit("new "), "category")))
     return p.join(sold, "product_id", "left_anti")
 

@@ -123,10 +123,10 @@ def case_segment(m):
 RAW_SIZE = "CASE WHEN size > 25 THEN subcategory ELSE CAST(size AS VARCHAR) END"
 
 
-def raw_sizes(m):
+def raw_sizes(m, *keep):
     """Product sizes as untrusted text: some rows hold a brand name instead."""
     raw = F.when(F.col("size") > 25, F.col("subcategory")).otherwise(F.col("size").cast("string"))
-    return m.products().select("product_id", raw.alias("raw_size"))
+    return m.products().select("product_id", raw.alias("raw_size"), *keep)
 
 
 @query("cast_strict", """SELECT order_id, CAST(order_id AS VARCHAR) AS id_text,
