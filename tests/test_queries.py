@@ -10,6 +10,7 @@ load_all()
 from cartloom.plans.registry import ORACLE, QUERIES  # noqa: E402
 
 PATH = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,8 @@ def db():
 @pytest.mark.parametrize("key", list(QUERIES))
 def test_query(spark, db, key):
     ok, message, _, _ = compare(spark, db, PATH, key, QUERIES[key], ORACLE.get(key))
+    if message.startswith("EMPTY"):  # rare rows are missing in the smallest tables; an empty result proves nothing
+        ok, message, _, _ = compare(spark, database(LARGER), LARGER, key, QUERIES[key], ORACLE.get(key))
     assert ok, message
 
 
