@@ -37,6 +37,8 @@ BLANK = b" \t\r\n"
 
 #: Suffixes of files that Spark decompresses; they cannot be cut.
 COMPRESSED = ("gz", "bz2", "zst", "lz4", "snappy", "deflate")
+#: File systems that tasks can read by byte range.
+RANGED = ("file", "hdfs", "viewfs", "gs", "abfs", "abfss", "s3")
 
 
 class NotAnArray(ValueError):
@@ -53,6 +55,13 @@ def opened(path: str) -> pa.NativeFile:
     return system.open_input_file(place)
 
 
+def ranged(spark: SparkSession, path: str) -> bool:
+    """Whether the file system of ``path`` is one of ``RANGED``."""
+    context = spark.sparkContext
+    system = context._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(context._jsc.hadoopConfiguration())
+    return system.getUri().getScheme() in RANGED
+
+
 def escaped_at(source: pa.NativeFile, start: int) -> bool:
     """Whether the bytes before ``start`` end in an odd number of backslashes."""
     run, step = 0, 1024

@@ -90,12 +90,15 @@ def csv_positional(spark: SparkSession, path: str, columns: Mapping[int, tuple[s
 
 def json_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array: one VARIANT per element, a large file read by
-    many tasks. Compressed files cannot be cut; each of them is one task."""
-    plain = arrays.element_texts(spark, path).select(F.parse_json("value").alias("doc"))
-    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.{" + ",".join(arrays.COMPRESSED) + "}")
-    whole = reader.option("singleVariantColumn", "doc").json(path)
+    many tasks. Compressed files, and those of a file system that only Spark's readers
+    open, are one task each."""
+    cut = arrays.ranged(spark, path)
+    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True)
+    if cut:
+        reader = reader.option("pathGlobFilter", "*.{" + ",".join(arrays.COMPRESSED) + "}")
     elements = F.explode_outer(F.variant_get("doc", "$", "array<variant>"))
-    return plain.unionByName(whole.select(elements.alias("doc")).filter(F.col("doc").isNotNull()))
+    whole = reader.option("singleVariantColumn", "doc").json(path).select(elements.alias("doc")).filter(F.col("doc").isNotNull())
+    return arrays.element_texts(spark, path).select(F.parse_json("value").alias("doc")).unionByName(whole) if cut else whole
 
 
 def json_lines(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:

@@ -87,3 +87,10 @@ def test_compressed_arrays_are_read_whole(spark, tmp_path):
     (tmp_path / "b.json").write_text('[{"id": 3}]')
     got = readers.json_arrays(spark, str(tmp_path)).select(F.variant_get("doc", "$.id", "int").alias("id")).collect()
     assert sorted(r.id for r in got) == [1, 2, 3]
+
+
+def test_other_file_systems_are_left_to_spark(spark, tmp_path, monkeypatch):
+    (tmp_path / "b.json").write_text('[{"id": 3}, {"id": 4}]')
+    monkeypatch.setattr(arrays, "RANGED", ())
+    assert not arrays.ranged(spark, str(tmp_path))
+    assert readers.json_arrays(spark, str(tmp_path)).count() == 2
