@@ -91,9 +91,9 @@ def csv_positional(spark: SparkSession, path: str, columns: Mapping[int, tuple[s
 def json_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array: one VARIANT per element, a large file read by
     many tasks. Compressed files, and those of a file system that only Spark's readers
-    open, are one task each."""
+    open, are one task each, and refused above the size of a VARIANT (128 MB)."""
     cut = arrays.ranged(spark, path)
-    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True)
+    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("mode", "FAILFAST")
     if cut:
         reader = reader.option("pathGlobFilter", "*.{" + ",".join(arrays.COMPRESSED) + "}")
     elements = F.explode_outer(F.variant_get("doc", "$", "array<variant>"))

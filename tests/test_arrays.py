@@ -85,6 +85,7 @@ def test_compressed_arrays_are_read_whole(spark, tmp_path):
 
     (tmp_path / "a.json.gz").write_bytes(gzip.compress(b'[{"id": 1}, {"id": 2}]'))
     (tmp_path / "b.json").write_text('[{"id": 3}]')
+    (tmp_path / "blank.json.gz").write_bytes(gzip.compress(b""))
     got = readers.json_arrays(spark, str(tmp_path)).select(F.variant_get("doc", "$.id", "int").alias("id")).collect()
     assert sorted(r.id for r in got) == [1, 2, 3]
 
@@ -94,3 +95,11 @@ def test_other_file_systems_are_left_to_spark(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(arrays, "RANGED", ())
     assert not arrays.ranged(spark, str(tmp_path))
     assert readers.json_arrays(spark, str(tmp_path)).count() == 2
+
+
+def test_a_bad_compressed_array_is_refused(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(b'[{"id": 1}, {"id"'))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.json_arrays(spark, str(tmp_path)).count()
