@@ -69,32 +69,54 @@ def byte_triples() -> list[tuple[int, int, int]]:
     return out
 
 
-def _forest(fp: np.ndarray, node: np.ndarray, max_bits: int) -> Iterator[tuple[int, int]]:
-    """Edges that span the linked groups among these fingerprints.
+def _postings(byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order of their byte, per column, and the bytes in that order."""
+    order = byte.argsort(axis=0, kind="stable")
+    return order, np.take_along_axis(byte, order, axis=0)
 
-    A fingerprint joins the first group that reaches it and is not compared within that
-    group again, so a group of near copies costs about one pass.
+
+def _posting(order: np.ndarray, value: np.ndarray, byte: np.uint8) -> np.ndarray:
+    """Rows that hold the byte."""
+    return order[value.searchsorted(byte, "left") : value.searchsorted(byte, "right")]
+
+
+def _forest(fp: np.ndarray, node: np.ndarray, held: tuple[int, ...], max_bits: int) -> Iterator[tuple[int, int]]:
+    """Edges that span the linked groups among these fingerprints, which share the bytes at ``held``.
+
+    The other positions have posting lists here. Those of a fingerprint's own bytes tally
+    what each open fingerprint shares with it; only those that reach the least number of
+    equal bytes are compared bit by bit. A fingerprint joins the first group that reaches
+    it and is then closed, so a group of near copies costs about one pass.
     """
-    left = np.arange(len(fp))
-    while len(left):
-        reached, left = [left[0]], left[1:]
-        while reached and len(left):
+    byte = np.ascontiguousarray(fp).view(np.uint8).reshape(-1, 8)[:, [p for p in range(8) if p not in held]]
+    order, value = _postings(byte)
+    least = 8 - max_bits - len(held)
+    open_, left = np.ones(len(fp), bool), len(fp)
+    for first in range(len(fp)):
+        if not open_[first]:
+            continue
+        open_[first], left, reached = False, left - 1, [first]
+        while reached and left:
             at = reached.pop()
-            differ = fp[left] ^ fp[at]
-            shared = (differ.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
-            linked = (shared >= 8 - max_bits) & (np.bitwise_count(differ) <= max_bits)
-            if linked.any():
-                for other in left[linked]:
-                    yield node[at], node[other]
-                reached.extend(left[linked])
-                left = left[~linked]
+            met = np.concatenate([_posting(order[:, p], value[:, p], byte[at, p]) for p in range(byte.shape[1])])
+            met = met[open_[met]]
+            if not len(met):
+                continue
+            near = np.flatnonzero(np.bincount(met, minlength=len(fp)) >= least)
+            near = near[np.bitwise_count(fp[near] ^ fp[at]) <= max_bits]
+            for other in near:
+                yield node[at], node[other]
+            open_[near], left = False, left - len(near)
+            reached.extend(near)
 
 
 def _link(max_bits: int):
     """Rows sorted by (list, i, j): the spanning edges of every list or pair of blocks."""
+    triples = byte_triples()
 
     def solve(rows: np.ndarray) -> tuple[list[int], list[int]]:
-        edges = list(_forest(np.ascontiguousarray(rows[:, 3]).view(np.uint64), rows[:, 4], max_bits))
+        fp = np.ascontiguousarray(rows[:, 3]).view(np.uint64)
+        edges = list(_forest(fp, rows[:, 4], triples[int(rows[0, 0]) >> 24], max_bits))
         return [int(a) for a, _ in edges], [int(b) for _, b in edges]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,9 +154,10 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> D
     ``classes`` is stored and has one row ``fp, node`` per distinct fingerprint. Two
     such fingerprints share at least four of eight bytes in place. Posting lists of
     single bytes hold 1/256 of all rows, so lists are kept for byte triples chosen such
-    that any four shared bytes meet in at least one. In a list the shared bytes of a
-    pair are tallied, pairs with fewer than four go, the others are verified bit by
-    bit. Links that a group does not need to stay connected are not listed.
+    that any four shared bytes meet in at least one. A list knows three shared bytes of
+    its pairs; inside it, posting lists of the other five positions tally the rest, and
+    only pairs that reach the least number of equal bytes (eight less ``max_bits``) are
+    verified bit by bit. Links that a group does not need to stay connected are not listed.
 
     A list longer than ``block`` is cut into blocks by hash, and every pair of blocks is
     a group of its own: nothing is skipped and no task holds a long list.

@@ -4,6 +4,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -67,6 +68,18 @@ def test_links_in_long_lists(spark, block):
     assert {i: found.get(i, i) for i in range(len(fps))} == want
 
 
+@pytest.mark.parametrize("max_bits", [0, 2, 4])
+def test_tally_in_a_list(max_bits):
+    rng = random.Random(max_bits)
+    base = [0x0102030405060708, 0x0102030405060708 ^ (0xFF << 40)]
+    fps = sorted({rng.choice(base) ^ sum(1 << b for b in rng.sample(range(24, 64), rng.randint(0, 5))) for _ in range(300)})
+    fp, node = np.array(fps, np.uint64), np.arange(len(fps))
+    edges = list(simhash._forest(fp, node, (0, 1, 2), max_bits))
+    assert all((fps[a] ^ fps[b]).bit_count() <= max_bits for a, b in edges)
+    want = groups(range(len(fps)), [(a, b) for a, b in combinations(range(len(fps)), 2) if (fps[a] ^ fps[b]).bit_count() <= max_bits])
+    assert groups(range(len(fps)), edges) == want
+
+
 def test_edges(spark):
     rows = [(5, None, 1), (3, "", 1), (9, " \t", 1), (None, "", 1), (7, "a b c d e f", 1), (7, "a b c d e f", 1), (8, "A B  c D\ne f", 1), (1, "quite another text here", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fp int").selectExpr("*", "1 AS node", "2 AS component_id")
