@@ -211,28 +211,50 @@ def _deal(depth: int):
 
 
 def _near_pairs(threshold: float):
-    """Keep the node pairs whose covering balls come within the threshold."""
+    """Keep the node pairs whose covering balls come within the threshold; ``whole`` marks balls that lie within it."""
     reach = _reach(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = ([np.frombuffer(u, np.float64) for u in batch.column(n).to_pylist()] for n in ("centre_a", "centre_b"))
             both = batch.column("radius_a").to_numpy() + batch.column("radius_b").to_numpy()
-            near = [np.sqrt(((u - v) ** 2).sum()) <= r + reach + SLACK for u, v, r in zip(a, b, both)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+            apart = np.array([np.sqrt(((u - v) ** 2).sum()) for u, v in zip(a, b)])
+            whole = pa.array(apart + both <= reach - 1e-6, pa.bool_())
+            pairs = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), whole], ["a", "b", "whole"])
+            yield pairs.filter(pa.array(apart <= both + reach + SLACK, pa.bool_()))
 
     return run
 
 
-def _grow(classes: DataFrame, threshold: float, leaf: int) -> tuple[DataFrame, DataFrame]:
-    """Leaves of the upper tree: members ``at, cls, node, n, unit`` and near node pairs ``a, b``.
+def _settle(members: DataFrame, whole: DataFrame) -> DataFrame:
+    """Links and edges ``cls, links, a, b`` of node pairs in which every member links with every other.
+
+    A member's links are the number of vectors in the nodes its node is paired with. One
+    edge a member, to a vector of one of these nodes, and one edge a pair keep all of
+    them connected, so a dense group of any size costs a row a member.
+    """
+    nodes = durable(members.groupBy("at").agg(F.sum("n").alias("vectors"), F.min("node").cast("long").alias("first"), F.count("*").alias("size")))
+    facing = whole.select(F.col("a").alias("at"), F.col("b").alias("other")).union(whole.where("a <> b").select("b", "a"))
+    others = nodes.select(F.col("at").alias("other"), F.col("vectors").alias("met"), F.col("first").alias("via"))
+    met = durable(facing.join(others, "other").join(nodes.select("at", "first", "size"), "at"))
+    per = met.groupBy("at", "size").agg(F.sum("met").alias("met"), F.min("via").alias("via"), F.bool_or(F.col("at") == F.col("other")).alias("own"))
+    mine = attach(members.select("at", "cls", "node", "n"), durable(per), ["at"], "size", how="inner")
+    links = F.col("met") - F.when(F.col("own"), F.col("n")).otherwise(F.lit(0))
+    rows = mine.select("cls", links.cast("long").alias("links"), F.col("node").cast("long").alias("a"), F.col("via").alias("b"))
+    return durable(rows.unionByName(met.where("at < other").select(F.lit(None).cast("binary").alias("cls"), F.lit(None).cast("long").alias("links"), F.col("first").alias("a"), F.col("via").alias("b"))))
+
+
+def _grow(classes: DataFrame, threshold: float, leaf: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Leaves of the upper tree: members ``at, cls, node, n, unit``, near node pairs ``a, b``, and settled links.
 
     Level by level, a node of more than ``leaf`` members is split at the halved radius;
     its members are dealt out in parts of at most ``leaf``, however many there are. The
-    pairs are walked along: children of a near pair are paired and kept if near.
+    pairs are walked along: children of a near pair are paired and kept if near. A pair
+    whose balls lie within the threshold as a whole is settled by counting and leaves
+    the walk; members that no open pair needs leave it too.
     """
     members = durable(classes.select(F.col("root").alias("at"), "cls", "node", "n", "unit"))
-    done = members.limit(0)
+    done, settled = members.limit(0), []
     roots = members.select("at").distinct()
     pairs = durable(roots.select(F.col("at").alias("a"), F.col("at").alias("b")))
     for depth in range(1, DEPTH + 1):
@@ -246,7 +268,8 @@ def _grow(classes: DataFrame, threshold: float, leaf: int) -> tuple[DataFrame, D
         mine = attach(members, durable(parts), ["at"], "size", how="inner")
         mine = mine.withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")))
         order = Window.partitionBy("at").orderBy(F.xxhash64("cls", F.lit(depth)), "cls")
-        picked = mine.select("at", "cls", "unit", "parts").withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.least(F.lit(FAN), 2 * F.col("parts")))
+        # the literal bound lets every task hand on at most FAN members of a node
+        picked = mine.select("at", "cls", "unit", "parts").withColumn("k", F.row_number().over(order)).where((F.col("k") <= FAN) & (F.col("k") <= 2 * F.col("parts")))
         sample = picked.groupBy("at").agg(F.max("parts").alias("parts"), F.transform(F.sort_array(F.collect_list(F.struct("k", "unit"))), lambda s: s["unit"]).alias("units"))
         sample = sample.select(F.col("at").alias("of"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("of_part"), "units")
         dealt = mine.select("at", "part", "cls", "node", "n", "unit").groupBy("at", "part").cogroup(sample.groupBy("of", "of_part"))
@@ -261,9 +284,14 @@ def _grow(classes: DataFrame, threshold: float, leaf: int) -> tuple[DataFrame, D
         right = nodes.select(F.col("parent").alias("b"), F.col("at").alias("child_b"), F.col("centre").alias("centre_b"), F.col("radius").alias("radius_b"))
         opened = pairs.join(left, "a").join(right, "b").where("a <> b OR child_a <= child_b")
         opened = opened.select(F.col("child_a").alias("a"), F.col("child_b").alias("b"), "centre_a", "centre_b", "radius_a", "radius_b")
-        pairs = durable(opened.mapInArrow(_near_pairs(threshold), "a string, b string"))
+        near = durable(opened.mapInArrow(_near_pairs(threshold), "a string, b string, whole boolean"))
+        pairs, whole = near.where("NOT whole").select("a", "b"), near.where("whole").select("a", "b")
         members = dealt.select(F.col("child").alias("at"), "cls", "node", "n", "unit")
-    return durable(done.unionByName(members)), pairs
+        if not whole.isEmpty():
+            settled.append(_settle(durable(done.unionByName(members)), whole))
+            needed = durable(pairs.select(F.col("a").alias("at")).union(pairs.select("b")).distinct())
+            members, done = durable(members.join(needed, "at", "left_semi")), durable(done.join(needed, "at", "left_semi"))
+    return durable(done.unionByName(members)), pairs, settled
 
 
 def _blocks(members: DataFrame, pairs: DataFrame, leaf: int) -> DataFrame:
@@ -289,9 +317,10 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     Vectors of equal label link at a cosine of ``threshold`` or more, in double
     precision. Equal vectors are one class with a count. Upper levels of the cover tree
     are tables: nodes with centre and covering radius, and the node pairs still near,
-    walked down together. A pair of leaves is a task, which builds cover trees of its
-    vectors and walks them in pairs. Links are counted where they are found; only edges
-    that keep a group connected are listed.
+    walked down together; pairs that link as a whole are settled by counting members. A
+    pair of leaves is a task, which builds cover trees of its vectors and walks them in
+    pairs. Links are counted where they are found; only edges that keep a group
+    connected are listed.
 
     Vectors that are NULL, empty, zero or hold NULL or non-finite components, and rows
     without label or vec_id, link with nothing: no links, and themselves as component.
@@ -301,11 +330,13 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     plain = vectors.select(F.col(vec_id).alias("vec_id"), F.col(label).alias("label"), F.col(embedding).alias("embedding"))
     kind = T.StructType([T.StructField("vec_id", vectors.schema[vec_id].dataType), T.StructField("root", T.StringType()), T.StructField("cls", T.BinaryType()), T.StructField("unit", T.BinaryType())])
     rows = durable(plain.mapInArrow(_prepare, kind))
-    classes = rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.first("root").alias("root"), F.min("vec_id").alias("node"), F.count("*").alias("n"), F.first("unit").alias("unit"))
+    classes = rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.first("root").alias("root"), F.min("vec_id").cast("long").alias("node"), F.count("*").alias("n"), F.first("unit").alias("unit"))
     classes = durable(classes)
-    members, pairs = _grow(classes, threshold, leaf)
+    members, pairs, settled = _grow(classes, threshold, leaf)
     tasks = _blocks(members, pairs, leaf).groupBy("a", "b")
     found = durable(tasks.applyInArrow(_compare(threshold), "cls binary, links long, a long, b long"))
+    for part in settled:
+        found = found.unionByName(part)
     links = found.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.sum("links").alias("links"))
     groups = components(found.where(F.col("a").isNotNull()).select("a", "b")).withColumnRenamed("node", "_node")
     facts = classes.select("cls", "node", "n").join(links, "cls", "left").join(groups, F.col("node") == F.col("_node"), "left")

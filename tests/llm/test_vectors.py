@@ -69,6 +69,20 @@ def test_against_all_pairs(spark, leaf):
     assert got == sorted(plain(rows))
 
 
+def test_dense_groups_are_settled_by_counting(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([cloud(rng, 150, 6, 0.0005, 2), cloud(rng, 40, 6, 0.03, 2)])
+    rows = [(k, [float(v) for v in e], 1) for k, e in enumerate(x)]
+    rows += [(500 + k, rows[0][1], 1) for k in range(40)]
+    settle, compare, sizes = vectors._settle, vectors._blocks, []
+    monkeypatch.setattr(vectors, "_settle", lambda members, whole: sizes.append(whole.count()) or settle(members, whole))
+    monkeypatch.setattr(vectors, "_blocks", lambda members, *rest: sizes.append(-members.count()) or compare(members, *rest))
+    df = spark.createDataFrame(rows, "vec_id int, embedding array<double>, label int")
+    got = sorted(map(tuple, vectors.near_duplicates(df, leaf=16).collect()))
+    assert got == sorted(plain(rows))
+    assert sizes[0] > 0 and -sizes[-1] < 150  # the dense ones never reach the leaf comparison
+
+
 def test_query_against_all_pairs(spark):
     path = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{path}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
