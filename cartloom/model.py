@@ -20,15 +20,18 @@ DEVICES = ["desktop", "mobile", "tablet"]
 
 # Scans of fewer splits than this (2 GB at the default split size) are short.
 SHORT_SCAN = 16
+# Rows of a short scan dealt to one task at most, if no value is frequent.
+DEALT_ROWS = 500_000
 
 
 class Model:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = tune(spark)
         self.path = path.rstrip("/")
-        # Schema and number of scan tasks, found out once a query: it costs a job.
+        # Schema, number of scan tasks and rows, found out once a query: it costs a job.
         self._schemas: dict[str, T.StructType] = {}
         self._splits: dict[str, int] = {}
+        self._rows: dict[str, int] = {}
 
     def table(self, name: str, deal_by: str | None = None) -> DataFrame:
         """A stored table.
@@ -37,7 +40,9 @@ class Model:
         shuffle runs in them.  With ``deal_by`` the rows of such a short scan are dealt
         over the cores by a column, which later joins and groupings by it reuse.  Only
         scans of a few splits are dealt, so that a very frequent value costs no more
-        than the short scan itself would; larger tables are left alone.
+        than the short scan itself would; larger tables are left alone.  Few splits may
+        still hold very many rows, and groupings by the column work on what one task was
+        dealt, so the number of tasks grows with the rows (counted from the file footers).
         """
         path = f"{self.path}/{name}.parquet"
         if path not in self._schemas:
@@ -48,7 +53,12 @@ class Model:
         cores = self.spark.sparkContext.defaultParallelism
         if path not in self._splits:
             self._splits[path] = df.rdd.getNumPartitions()
-        return df if self._splits[path] >= SHORT_SCAN else df.repartition(min(cores, SHORT_SCAN), deal_by)
+        if self._splits[path] >= SHORT_SCAN:
+            return df
+        if path not in self._rows:
+            self._rows[path] = df.count()
+        tasks = max(min(cores, SHORT_SCAN), -(-self._rows[path] // DEALT_ROWS))
+        return df.repartition(tasks, deal_by)
 
     def geography(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
